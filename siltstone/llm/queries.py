@@ -4,17 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
+from .language_id import identify
 from .mixing import mix
+from .ppm import pretrained_scores
+from .simhash import simhash_components
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(n: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op1_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pretrained_scores(table(spark, sf_dir, "documents"), _remainder(7) != 2)
+    return out.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = identify(table(spark, sf_dir, "documents"), _remainder(3) != 1)
+    return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).withColumnRenamed("digest", "text_sha256")
 
@@ -37,11 +55,53 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+OP10_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), bw AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), sizes AS (
+  SELECT DISTINCT least(len(w), 13) AS k FROM bw WHERE len(w) > 0
+), bg AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT item_id, w, least(len(w), 13) AS k, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM bw WHERE len(w) > 0)
+), dg AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw CROSS JOIN sizes WHERE len(w) >= k)
+), m AS (
+  SELECT doc_id, i, dg.k AS k, item_id FROM dg JOIN bg ON dg.k = bg.k AND dg.g = bg.g
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM m) GROUP BY doc_id
+), it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ppm_score": op1_ppm_score,
+    "op3_language_id": op3_language_id,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op9_exact_dedup": OP9_SQL,
+    "op10_decontaminate": OP10_SQL,
 }

@@ -1,18 +1,24 @@
 """Language-model scoring by prediction by partial matching.
 
 The model is a trie of byte contexts up to `order` bytes.  A byte is coded in the longest context that
-was seen; if it was not seen there, an escape is coded (method C: as many escapes as there are distinct
-symbols) and the next shorter context is tried, without the symbols that the longer one has ruled out
-(exclusion).  Below order 0 all symbols left are equally likely.  A text ends with a symbol of its own,
-so the code lengths are of a proper distribution over texts.
+was seen; if it was not seen there, an escape is coded (method D: each distinct symbol gives half a count
+to the escape) and the next shorter context is tried, without the symbols that the longer one has ruled
+out (exclusion).  Below order 0 all symbols left are equally likely.  Shorter contexts count a symbol
+only where it was new in the longer one (update exclusion).  A text ends with a symbol of its own, so
+the code lengths are of a proper distribution over texts.
 
 *Adaptive* scoring (`adaptive_scores`) starts each document from an empty trie and learns as it goes.
 
-*Pretrained* scoring (`pretrained_scores`) learns from all training documents.  A trie node is a packed
-integer of its context and symbol, counts are ordinary aggregates, and all nodes under one pair of
-preceding bytes are turned into code lengths together.  No task needs the whole trie: documents are
-dealt into parts, a part names the nodes and words it needs, gets just those back by a join, and scores
-its texts with them.
+*Pretrained* scoring (`pretrained_scores`) learns from all training documents, in three steps:
+
+1. One scan cuts the documents into parts.  A part keeps its texts, compressed, and says by bucket which
+   trie nodes and words occur in it and how often in training.  A bucket has all contexts of some pairs of
+   preceding bytes, or the words with some hash.
+2. A bucket's requests are merged (first by groups of parts, if there are many) into its share of the
+   model, code lengths are worked out there, and each part gets its own ones back.
+3. Each part scores its texts.
+
+No task holds the whole model, and what is sent back to a part is what occurs in it.
 
 Defined results: a null text is empty, which is one end symbol and one end token.  Rows with the same
 id are separate documents.  Without training documents all symbols are equally likely.  An empty table
@@ -22,21 +28,25 @@ gives no rows.  Other columns are not looked at.
 from __future__ import annotations
 
 import math
+import struct
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_id, materialize, parts
+from .common import doc_id, input_bytes, materialize
 
 #: Bytes that UTF-8 never has: before a text, and after it.  All but START can be predicted.
 START, END, SYMBOLS = 0xFE, 0xFF, 255
 
-#: Compressed bytes of input in one part.
-PART = 24 << 20
+#: Bytes of text in one part, at most (but for one longer text).
+PART = 32 << 20
 
 #: Bytes of text that are looked at together inside a part.
 CHUNK = 2 << 20
@@ -56,17 +66,20 @@ class Trie:
             if not seen:
                 continue
             fresh = {s: c for s, c in seen.items() if s not in excluded}
-            total = sum(fresh.values()) + len(fresh)
+            total = sum(fresh.values())
             if symbol in fresh:
-                return out + math.log10(fresh[symbol] / total)
+                return out + math.log10((fresh[symbol] - 0.5) / total)
             if fresh:
-                out += math.log10(len(fresh) / total)
+                out += math.log10(0.5 * len(fresh) / total)
             excluded = set(seen)
         return out - math.log10(SYMBOLS - len(excluded))
 
     def learn(self, past: bytes, symbol: int) -> None:
-        for j in range(self.order + 1):
-            self.counts[past[len(past) - j :]][symbol] += 1
+        for j in range(self.order, -1, -1):
+            seen = self.counts[past[len(past) - j :]]
+            seen[symbol] += 1
+            if seen[symbol] > 1:  # not new here: shorter contexts have it
+                return
 
     def score(self, text: str | None, learn: bool, score: bool = True) -> float:
         raw = bytes([START]) * self.order + (text or "").encode("utf-8", "replace") + bytes([END])
@@ -80,7 +93,7 @@ class Trie:
         return total
 
 
-def adaptive_scores(docs: DataFrame, order: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def adaptive_scores(docs: DataFrame, order: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, score``: each document's log10 probability under a trie that learns from that document alone."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,41 +127,92 @@ def _grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return key, np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
 
 
-def _utf8(column: pd.Series) -> list[bytes]:
-    return [t.encode("utf-8", "replace") if isinstance(t, str) else b"" for t in column]
-
-
-def _needs(order: int):
-    """What a part needs to be told, with its own training counts."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        part, trained = int(pdf["part"].iloc[0]), pdf["trained"].to_numpy(dtype=bool)
-        texts = _utf8(pdf["text"])
-        words: tuple[Counter, Counter] = (Counter(), Counter())
-        grams: tuple[list, list] = ([], [])
-        for flag in (True, False):
-            own = [t for t, x in zip(texts, trained) if x == flag]
-            for lo, hi in _chunks(own):
-                key, _ = _grams(own[lo:hi], order)
-                n = pd.Series(key).value_counts(sort=False)
-                grams[flag].append(n if flag else n * 0)
-            for t in own:
-                words[flag].update(t.lower().split())
-                words[flag][b""] += 1
-        gram = pd.concat(grams[True] + grams[False])
-        gram = gram.groupby(level=0, sort=False).sum()
-        token = words[True] | Counter()
-        for w in words[False]:
-            token[w] = token[w]  # known as needed, without a count of its own
-        return pd.concat(
-            [
-                pd.DataFrame({"part": part, "gram": gram.index.to_numpy(), "token": None, "n": gram.to_numpy()}),
-                pd.DataFrame({"part": part, "gram": None, "token": list(token), "n": list(token.values())}),
-            ],
-            ignore_index=True,
-        ).astype({"gram": "Int64"})
-
-    return run
+def _squeeze(x: np.ndarray | bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(x if isinstance(x, bytes) else np.ascontiguousarray(x).tobytes())
+
+
+def _spread(x: bytes, dtype: str | None = None) -> np.ndarray | bytes:
+    raw = zstandard.ZstdDecompressor().decompress(x)
+    return np.frombuffer(raw, dtype=dtype) if dtype else raw
+
+
+def _squeeze_sorted(x: np.ndarray) -> bytes:
+    return _squeeze(np.diff(x, prepend=0))
+
+
+def _spread_sorted(x: bytes) -> np.ndarray:
+    return np.cumsum(_spread(x, "<i8"))
+
+
+def _gram_bucket(gram: np.ndarray, buckets: int) -> np.ndarray:
+    """By the two bytes before the symbol, so that all contexts of order 2 and more that go together meet."""
+    pair = (gram >> 8) & 0xFFFF
+    return (pair * 40503 >> 4) % buckets
+
+
+def _word_buckets(own: list[bytes], buckets: int) -> np.ndarray:
+    return np.fromiter((xxhash.xxh32_intdigest(w) for w in own), dtype=np.int64, count=len(own)) % buckets + buckets
+
+
+PARTS = "part long, bucket int, docs binary, names binary, n binary"
+
+
+def _part(part: int, ids: list, trained: list[bool], texts: list[bytes], order: int, buckets: int) -> pd.DataFrame:
+    """The rows of one part: its texts (bucket null), and by bucket the names of nodes or words and their counts."""
+    grams: list[pd.Series] = []
+    words: dict[bytes, int] = {}
+    for flag in (True, False):
+        own = [t for t, x in zip(texts, trained) if x == flag]
+        for lo, hi in _chunks(own):
+            n = pd.Series(_grams(own[lo:hi], order)[0]).value_counts(sort=False)
+            grams.append(n if flag else n * 0)
+        count: Counter = Counter()
+        for t in own:
+            count.update(t.lower().split())
+        count[b""] += len(own)
+        for w, n in count.items():
+            words[w] = words.get(w, 0) + (n if flag else 0)
+    gram = pd.concat(grams).groupby(level=0).sum()  # in ascending order
+    name, n = gram.index.to_numpy(dtype="<i8"), gram.to_numpy(dtype="<i8")
+    rows = [(part, None, _squeeze(_pack_docs(ids, trained, texts)), None, None)]
+    at = _gram_bucket(name, buckets)
+    by = np.argsort(at, kind="stable")
+    own, first = np.unique(at[by], return_index=True)
+    for b, x in zip(own.tolist(), np.split(by, first[1:])):
+        rows.append((part, b, None, _squeeze_sorted(name[x]), _squeeze(n[x])))
+    word, n = list(words), np.fromiter(words.values(), dtype="<i8", count=len(words))
+    at = _word_buckets(word, buckets)
+    by = np.argsort(at, kind="stable")
+    own, first = np.unique(at[by], return_index=True)
+    for b, x in zip(own.tolist(), np.split(by, first[1:])):
+        rows.append((part, b, None, _squeeze(b" ".join(word[i] for i in x)), _squeeze(n[x])))
+    return pd.DataFrame(rows, columns=["part", "bucket", "docs", "names", "n"]).astype({"bucket": "Int32"})
+
+
+def _pack_docs(ids: list, trained: list[bool], texts: list[bytes]) -> bytes:
+    head = struct.pack("<q", len(ids)) + np.array([i is not None for i in ids], dtype="<i1").tobytes() + np.array([i or 0 for i in ids], dtype="<i8").tobytes()
+    return head + np.array(trained, dtype="<i1").tobytes() + np.array([len(t) for t in texts], dtype="<i8").tobytes() + b"".join(texts)
+
+
+def _unpack_docs(raw: bytes) -> tuple[list, list[bool], list[bytes]]:
+    n = struct.unpack_from("<q", raw)[0]
+    known = np.frombuffer(raw, "<i1", n, 8)
+    ids = np.frombuffer(raw, "<i8", n, 8 + n)
+    trained = np.frombuffer(raw, "<i1", n, 8 + 9 * n)
+    ends = 8 + 18 * n + np.cumsum(np.frombuffer(raw, "<i8", n, 8 + 10 * n))
+    texts = [raw[a:b] for a, b in zip(np.append(8 + 18 * n, ends[:-1]).tolist(), ends.tolist())]
+    return [int(i) if k else None for i, k in zip(ids, known)], trained.astype(bool).tolist(), texts
+
+
+def _merge(is_word: bool, names: pd.Series, n: pd.Series) -> tuple[np.ndarray | list[bytes], np.ndarray]:
+    if is_word:
+        total: dict[bytes, int] = {}
+        for x, c in zip(names, n):
+            for w, k in zip(_spread(x).split(b" "), _spread(c, "<i8").tolist()):
+                total[w] = total.get(w, 0) + k
+        return list(total), np.fromiter(total.values(), dtype="<i8", count=len(total))
+    own, at = np.unique(np.concatenate([_spread_sorted(x) for x in names]), return_inverse=True)
+    return own, np.bincount(at, weights=np.concatenate([_spread(x, "<i8") for x in n]), minlength=len(own)).astype("<i8")
 
 
 def _sums(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,9 +233,12 @@ class Levels:
     def __init__(self, gram: np.ndarray, n: np.ndarray, order: int, lowest: int, below: "Levels | None" = None) -> None:
         self.order, self.lowest, self.below = order, lowest, below
         self.grams, self.contexts = {}, {}
+        self.grams[order] = _sums(gram, n)
+        for j in range(order - 1, lowest - 1, -1):  # a shorter context counts the longer ones that have the symbol
+            longer = self.grams[j + 1][0]
+            self.grams[j] = _sums(longer & ((1 << 8 * (j + 1)) - 1), np.ones(len(longer)))
         for j in range(lowest, order + 1):
-            own, count = _sums(gram & ((1 << 8 * (j + 1)) - 1), n)
-            self.grams[j] = (own, count)
+            own, count = self.grams[j]
             context, total = _sums(own >> 8, count)
             _, distinct = _sums(own >> 8, np.ones(len(own)))
             down = self.count(j - 1, own & ((1 << 8 * j) - 1)) if j else np.zeros(len(own))
@@ -196,7 +263,7 @@ class Levels:
             fresh, left = distinct - gone, total - mass
             with np.errstate(divide="ignore", invalid="ignore"):
                 hit = c > 0
-                add = np.where(hit, np.log10(c / (left + fresh)), np.where((total > 0) & (fresh > 0), np.log10(fresh / (left + fresh)), 0.0))
+                add = np.where(hit, np.log10((c - 0.5) / left), np.where((total > 0) & (fresh > 0), np.log10(0.5 * fresh / left), 0.0))
             out[open_] += add
             keep = ~hit
             seen = total[keep] > 0
@@ -209,67 +276,116 @@ class Levels:
 def pretrained_scores(
     docs: DataFrame,
     trained: Column,
-    order: int = 4,
+    order: int = 5,
     id_col: str = "doc_id",
     text_col: str = "text",
     part_bytes: int = PART,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Score every document by a model that learns from the rows where `trained` is true.
 
     Returns ``doc_id, trained, n_tokens, n_known, train_tokens, base_score, score``; the base is a unigram
-    model of words with one added to each count, the score is the trie's.  `order` is 2 to 6.
+    model of words with one added to each count, the score is the trie's.  `order` is 2 to 6.  `buckets`
+    follows the input's size if it is not given.
     """
     if not 2 <= order <= 6:
         raise ValueError("order must be 2 to 6")
-    n_parts = parts(docs, part_bytes)
-    text = docs.select(
-        F.pmod(F.xxhash64(F.lit("part"), doc_id(id_col)), F.lit(n_parts)).cast("int").alias("part"),
-        doc_id(id_col).alias("doc_id"),
-        F.coalesce(trained, F.lit(False)).alias("trained"),
-        F.col(text_col).alias("text"),
-    )
-    needs = materialize(text.groupBy("part").applyInPandas(_needs(order), "part int, gram long, token binary, n long"), "ppm-needs")
-
-    words = needs.filter("token is not null")
-    counts = materialize(words.groupBy("token").agg(F.sum("n").alias("c")), "ppm-words")
-    known = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    n_train, n_distinct = int(known[0]), int(known[1])
-    base = F.log10((F.col("c") + 1) / F.lit(float(n_train + n_distinct + 1)))
-    told_words = words.select("part", "token").join(counts, "token").select("part", F.lit(None).cast("long").alias("gram"), "token", base.alias("value"), (F.col("c") > 0).alias("known"))
-
-    grams = needs.filter("gram is not null")
-    nodes = materialize(grams.groupBy("gram").agg(F.sum("n").alias("c")), "ppm-nodes")
-    # at most 256 x 256 rows: the nodes of orders 0 and 1, which all others fall back on
-    low = nodes.filter("c > 0").groupBy(F.col("gram").bitwiseAND(0xFFFF).alias("gram")).agg(F.sum("c").alias("c")).toPandas()
-    below = Levels(low["gram"].to_numpy(dtype=np.int64), low["c"].to_numpy(dtype=np.float64), 1, 0)
+    many = buckets or min(max(256, math.ceil(input_bytes(docs) / part_bytes)), 1 << 16)
 
-    def code(pdf: pd.DataFrame) -> pd.DataFrame:
-        gram, c = pdf["gram"].to_numpy(), pdf["c"].to_numpy(dtype=np.float64)
-        return pd.DataFrame({"gram": gram, "value": Levels(gram[c > 0], c[c > 0], order, 2, below).log10(gram)})
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, held, size = TaskContext.get().partitionId() << 32, ([], [], []), 0
+        for pdf in batches:
+            for i, x, t in zip(pdf["doc_id"], pdf["trained"], pdf["text"]):
+                raw = t.encode("utf-8", "replace") if isinstance(t, str) else b""
+                held[0].append(None if pd.isna(i) else int(i))
+                held[1].append(bool(x))
+                held[2].append(raw)
+                size += len(raw)
+                if size >= part_bytes:
+                    yield _part(part, *held, order, many)
+                    part, held, size = part + 1, ([], [], []), 0
+        if held[0]:
+            yield _part(part, *held, order, many)
+
+    rows = docs.select(doc_id(id_col).alias("doc_id"), F.coalesce(trained, F.lit(False)).alias("trained"), F.col(text_col).alias("text"))
+    # an id may be null: as strings, ids stay whole in pandas
+    cut_up = materialize(rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(cut, PARTS), "ppm-parts")
+    needs = cut_up.filter("bucket is not null").select("part", "bucket", "names", "n")
+    n_parts = cut_up.filter("bucket is null").count()
+    groups = max(1, math.ceil(n_parts / (4 * many)))  # of parts, so that what meets in a task stays small
+    needs = needs.withColumn("group", F.pmod(F.xxhash64("part"), F.lit(groups)).cast("int"))
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(pdf["bucket"].iloc[0])
+        names, n = _merge(bucket >= many, pdf["names"], pdf["n"])
+        return pd.DataFrame({"bucket": [bucket], "names": [_squeeze(b" ".join(names)) if bucket >= many else _squeeze_sorted(names)], "n": [_squeeze(n)]})
+
+    merged = "bucket int, names binary, n binary"
+    model = needs
+    if groups > 1:
+        model = model.groupBy("bucket", "group").applyInPandas(merge, merged)
+    model = materialize(model.groupBy("bucket").applyInPandas(merge, merged), "ppm-model")
+
+    def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for b, names, n in zip(pdf["bucket"], pdf["names"], pdf["n"]):
+                c = _spread(n, "<i8")
+                if b >= many:
+                    yield pd.DataFrame({"gram": [-1], "c": [int(c.sum())], "distinct": [int((c > 0).sum())]})
+                else:  # distinct nodes of order 2, counted by the node of order 1
+                    two = np.unique(_spread_sorted(names)[c > 0] & 0xFFFFFF)
+                    own, k = np.unique(two & 0xFFFF, return_counts=True)
+                    yield pd.DataFrame({"gram": own, "c": k, "distinct": 0})
+
+    # at most 256 x 256 rows, and one: the nodes of orders 0 and 1, which all others fall back on, and the words' totals
+    low = model.mapInPandas(totals, "gram long, c long, distinct long").groupBy("gram").agg(F.sum("c").alias("c"), F.sum("distinct").alias("distinct")).toPandas()
+    of_words = low["gram"] == -1
+    n_train, n_distinct = int(low["c"][of_words].sum()), int(low["distinct"][of_words].sum())
+    low = low[~of_words].sort_values("gram")
+    below = Levels(low["gram"].to_numpy(dtype=np.int64), low["c"].to_numpy(dtype=np.float64), 1, 0)
 
-    by_pair = nodes.groupBy(F.call_function("shiftright", F.col("gram"), F.lit(8)).bitwiseAND(0xFFFF).cast("int").alias("pair"))
-    codes = by_pair.applyInPandas(code, "gram long, value double")
-    told_grams = grams.select("part", "gram").join(codes, "gram").select("part", "gram", F.lit(None).cast("binary").alias("token"), "value", F.lit(True).alias("known"))
+    def tell(own: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(model["bucket"].iloc[0])
+        c = _spread(model["n"].iloc[0], "<i8")
+        out = []
+        if bucket >= many:
+            count = dict(zip(_spread(model["names"].iloc[0]).split(b" "), c.tolist()))
+            for x in own["names"]:
+                wanted = _spread(x).split(b" ")
+                out.append(_squeeze(np.fromiter(map(count.__getitem__, wanted), dtype="<i8", count=len(wanted))))
+        else:
+            gram = _spread_sorted(model["names"].iloc[0])
+            value = Levels(gram[c > 0], c[c > 0].astype(np.float64), order, 2, below).log10(gram).astype("<f4")
+            for x in own["names"]:
+                out.append(_squeeze(value[np.searchsorted(gram, _spread_sorted(x))]))
+        return pd.DataFrame({"part": own["part"], "bucket": bucket, "names": own["names"], "value": out})
+
+    copies = model.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    told = needs.groupBy("bucket", "group").cogroup(copies.groupBy("bucket", "group")).applyInPandas(lambda own, model: tell(own, model) if len(own) and len(model) else pd.DataFrame({"part": [], "bucket": [], "names": [], "value": []}), "part long, bucket int, names binary, value binary")
 
     def score(own: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        texts = _utf8(own["text"])
-        is_word = told["token"].notna().to_numpy()
-        value, is_known = told["value"].to_numpy(), told["known"].to_numpy(dtype=bool)
-        word = dict(zip(told["token"][is_word], zip(value[is_word].tolist(), is_known[is_word].tolist())))
-        index, length = pd.Index(told["gram"][~is_word].to_numpy(dtype=np.int64)), value[~is_word]
+        ids, flags, texts = _unpack_docs(_spread(own["docs"].iloc[0]))
+        is_word = (told["bucket"] >= many).to_numpy()
+        word: dict[bytes, int] = {}
+        for x, c in zip(told["names"][is_word], told["value"][is_word]):
+            word.update(zip(_spread(x).split(b" "), _spread(c, "<i8").tolist()))
+        grams = [_spread_sorted(x) for x in told["names"][~is_word]]
+        length = np.concatenate([_spread(x, "<f4") for x in told["value"][~is_word]]).astype(np.float64)
+        index = pd.Index(np.concatenate(grams))
         total = np.zeros(len(texts))
         for lo, hi in _chunks(texts):
             key, starts = _grams(texts[lo:hi], order)
             total[lo:hi] = np.add.reduceat(length[index.get_indexer(key)], starts)
         n, known, base = [], [], []
+        whole = math.log10(n_train + n_distinct + 1)
         for t in texts:
             tokens = t.lower().split()
             tokens.append(b"")
-            got = [word[w] for w in tokens]
+            c = np.fromiter(map(word.__getitem__, tokens), dtype=np.int64, count=len(tokens))
             n.append(len(tokens))
-            known.append(sum(k for _, k in got))
-            base.append(math.fsum(v for v, _ in got))
-        return pd.DataFrame({"doc_id": own["doc_id"], "trained": own["trained"], "n_tokens": n, "n_known": known, "train_tokens": n_train, "base_score": base, "score": total})
+            known.append(int(np.count_nonzero(c)))
+            base.append(float(np.log10(c + 1.0).sum() - len(tokens) * whole))
+        return pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "trained": flags, "n_tokens": n, "n_known": known, "train_tokens": n_train, "base_score": base, "score": total})
 
-    told = told_grams.unionByName(told_words)
-    return text.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(score, "doc_id long, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    texts = cut_up.filter("bucket is null").select("part", "docs")
+    return texts.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(score, "doc_id long, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -11,6 +11,7 @@ from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .language_id import identify
 from .mixing import mix
+from .pii import KINDS, find_pii, span_string
 from .ppm import pretrained_scores
 from .simhash import simhash_components
 
@@ -33,6 +34,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    n = [F.size(F.filter(base, lambda s, k=k: s["kind_no"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
+    return found.select("doc_id", *n, F.sha2(span_string(base), 256).alias("base_sha256"), span_string(F.col("spans")).alias("spans"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).withColumnRenamed("digest", "text_sha256")
 
@@ -96,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm_score": op1_ppm_score,
     "op3_language_id": op3_language_id,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_pii": op6_pii,
     "op7_mix_sources": op7_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,

@@ -187,39 +187,48 @@ def train(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col: st
     return BiGRU(labels, seed=seed).fit(list(few["word"]), y, weight, steps=steps, seed=seed)
 
 
-def predict(docs: DataFrame, net: BiGRU | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, lang_pred, score``: the label with the largest mean probability over all positions of the text, and that mean."""
+def _label_texts(net: BiGRU, batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    seen: dict[bytes, int] = {}
+    sums = np.zeros((0, len(net.labels)), np.float32)
+    for batch in batches:
+        if len(seen) > CACHE:
+            seen, sums = {}, sums[:0]
+        langs, scores = [], []
+        for i in range(0, len(batch), 500):
+            texts = [t if isinstance(t, str) else None for t in batch.iloc[i : i + 500]]
+            own = [words(t) for t in texts]
+            new = list({w for ws in own for w in ws if w not in seen})
+            if new:
+                seen.update(zip(new, range(len(seen), len(seen) + len(new))))
+                sums = np.concatenate([sums, net.word_sums(new)])
+            for text, ws in zip(texts, own):
+                if not ws or not has_letter(text):
+                    langs.append(UNKNOWN)
+                    scores.append(0.0)
+                    continue
+                total = sums[np.fromiter(map(seen.__getitem__, ws), dtype=np.int64, count=len(ws))].sum(axis=0, dtype=np.float64)
+                total /= total.sum()
+                langs.append(net.labels[int(total.argmax())])
+                scores.append(float(total.max()))
+        yield pd.DataFrame({"lang_pred": langs, "score": scores})
+
+
+def predictor(net: BiGRU):
+    """A column function of a text: the label with the largest mean probability over all its positions, and that mean."""
+
+    @F.pandas_udf("lang_pred string, score double")
+    def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from _label_texts(net, batches)
+
+    return label
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[bytes, int] = {}
-        sums = np.zeros((0, len(net.labels)), np.float32)
-        for pdf in batches:
-            if len(seen) > CACHE:
-                seen, sums = {}, sums[:0]
-            langs, scores = [], []
-            for i in range(0, len(pdf), 500):
-                texts = [t if isinstance(t, str) else None for t in pdf["text"].iloc[i : i + 500]]
-                own = [words(t) for t in texts]
-                new = list({w for ws in own for w in ws if w not in seen})
-                if new:
-                    seen.update(zip(new, range(len(seen), len(seen) + len(new))))
-                    sums = np.concatenate([sums, net.word_sums(new)])
-                for text, ws in zip(texts, own):
-                    if not ws or not has_letter(text):
-                        langs.append(UNKNOWN)
-                        scores.append(0.0)
-                        continue
-                    at = np.fromiter(map(seen.__getitem__, ws), dtype=np.int64, count=len(ws))
-                    total = sums[at].sum(axis=0, dtype=np.float64)
-                    total /= total.sum()
-                    langs.append(net.labels[int(total.argmax())])
-                    scores.append(float(total.max()))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang_pred": langs, "score": scores})
 
+def predict(docs: DataFrame, net: BiGRU | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, lang_pred, score``."""
     rows = docs.select(doc_id(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     if net is None:
         return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    return rows.mapInPandas(run, "doc_id long, lang_pred string, score double")
+    return rows.select("doc_id", predictor(net)(F.col("text")).alias("x")).select("doc_id", "x.lang_pred", "x.score")
 
 
 def identify(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **how) -> DataFrame:

@@ -14,6 +14,7 @@ from .mixing import mix
 from .pii import KINDS, find_pii, span_string
 from .ppm import pretrained_scores
 from .simhash import simhash_components
+from .url_filter import judge_urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +35,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+#: The rules that op4 judges by.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
@@ -103,6 +112,7 @@ FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm_score": op1_ppm_score,
     "op3_language_id": op3_language_id,
+    "op4_url_filter": op4_url_filter,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_pii": op6_pii,
     "op7_mix_sources": op7_mix_sources,

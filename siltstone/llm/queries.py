@@ -14,6 +14,7 @@ from .mixing import mix
 from .pii import KINDS, find_pii, span_string
 from .ppm import pretrained_scores
 from .simhash import simhash_components
+from .substring_dedup import substring_dedup
 from .url_filter import judge_urls
 
 
@@ -50,6 +51,12 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *n, F.sha2(span_string(base), 256).alias("base_sha256"), span_string(F.col("spans")).alias("spans"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup(table(spark, sf_dir, "documents"))
+    spans = F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))))
+    return out.select("doc_id", "n_dup_words", spans.alias("spans"), "partners")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).withColumnRenamed("digest", "text_sha256")
 
@@ -116,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_pii": op6_pii,
     "op7_mix_sources": op7_mix_sources,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
 }

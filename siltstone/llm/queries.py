@@ -15,6 +15,7 @@ from .pii import KINDS, find_pii, span_string
 from .ppm import pretrained_scores
 from .simhash import simhash_components
 from .substring_dedup import substring_dedup
+from .token_counts import count_with_edits, mask_addresses
 from .url_filter import judge_urls
 
 
@@ -31,6 +32,11 @@ def op1_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document, before and after each word with an at sign is masked."""
+    return count_with_edits(table(spark, sf_dir, "documents"), propose=mask_addresses)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = identify(table(spark, sf_dir, "documents"), _remainder(3) != 1)
     return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
@@ -118,6 +124,7 @@ FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm_score": op1_ppm_score,
+    "op2_token_counts": op2_token_counts,
     "op3_language_id": op3_language_id,
     "op4_url_filter": op4_url_filter,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,

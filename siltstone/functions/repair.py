@@ -27,10 +27,12 @@ _TRACE = re.compile("[ÂÃÄÅÆÇÈÉÐÑØÙâãäåæçèéïð][\x80-\xbf€
 
 
 def unmangle(s: str) -> str:
-    """Undo one reading of UTF-8 as Windows-1252 or Latin-1, as long as traces of it are left."""
+    """Undo readings of UTF-8 as Windows-1252 or Latin-1, word by word, as long as traces of it are left."""
+    return " ".join(_unmangle_word(w) if _TRACE.search(w) else w for w in s.split(" "))
+
+
+def _unmangle_word(s: str) -> str:
     for _ in range(3):
-        if not _TRACE.search(s):
-            break
         for code in ("cp1252", "latin-1"):
             try:
                 s = s.encode(code).decode("utf-8")
@@ -39,6 +41,8 @@ def unmangle(s: str) -> str:
                 pass
         else:
             break
+        if not _TRACE.search(s):
+            break
     return s
 
 
@@ -47,7 +51,8 @@ def repair_text(s: str, uncurl_quotes: bool = True, fix_entities: bool = True) -
         return s.translate(_CONTROL)
     if fix_entities and "&" in s and "<" not in s:
         s = html.unescape(s)
-    s = unmangle(s).translate(_WIDTHS)
+    s = "\n".join(unmangle(line) for line in s.split("\n")) if _TRACE.search(s) else s
+    s = s.translate(_WIDTHS)
     s = s.translate(_QUOTES) if uncurl_quotes else s
     s = _LINE_ENDS.sub("\n", s.translate(_LIGATURES)).translate(_CONTROL)
     return unicodedata.normalize("NFC", s)

@@ -285,10 +285,14 @@ def strip_single_space(c: Column) -> Column:
     return gsub(c, r"\A (?! )")
 
 
+def _without_paragraphs(c: Column, words: str) -> Column:
+    return F.array_join(F.filter(F.split(c, "\n\n", -1), lambda p: ~F.contains(p, F.lit(words))), "\n\n")
+
+
 def clean_novel(c: Column) -> Column:
     c = delete(unwrap(c), *P.NOVEL_LINES)
     for x in P.NOVEL_PARAGRAPHS:
-        c = F.array_join(F.filter(F.split(c, "\n\n", -1), lambda p, x=x: ~F.contains(p, F.lit(x))), "\n\n")
+        c = _without_paragraphs(c, x)
     c = F.array_join(F.transform(F.split(c, r"\n{3,}", -1), lambda p: swap(p, "\n\n", "\n")), "\n\n")
     c = delete(drop_toc(unindent(c)), P.NOVEL_END, *P.NOVEL_SEPARATORS, P.NOVEL_HEADS)
     return unlines(F.transform(lines(c), strip_single_space))

@@ -40,9 +40,19 @@ def conversation_ok(texts: Column, blacklisted: Callable[[Column], Column] | Non
 
 
 def bland_trigrams(text: Column) -> Column:
-    """The trigrams that cover more than nine tenths of the text, each occurrence counted for three characters."""
-    own = T.ngrams(text, 3)
-    return F.filter(F.array_distinct(own), lambda g: F.size(F.filter(own, lambda x: x == g)) * 3 / F.length(text) > 0.9)
+    """The trigrams that cover more than nine tenths of the text, each occurrence counted for three characters.
+
+    Such a trigram fills over three tenths of the sorted trigrams, so it stands at one of a few places there, and only
+    those have to be counted.
+    """
+
+    def often(t: Column, own: Column) -> Column:
+        step = F.greatest(F.lit(1), F.floor(F.size(own) * 0.3).cast("int"))
+        places = F.when(F.size(own) > 0, F.sequence(step, F.greatest(F.size(own), step), step)).otherwise(F.array().cast("array<int>"))
+        some = F.array_distinct(F.transform(places, lambda i: F.get(own, i - 1)))
+        return F.filter(some, lambda g: F.size(F.filter(own, lambda x: x == g)) * 3 / F.length(t) > 0.9)
+
+    return T.bind(text, lambda t: T.bind(F.array_sort(T.ngrams(t, 3)), lambda own: often(t, own)))
 
 
 def is_bland(text: Column, bland: Column) -> Column:

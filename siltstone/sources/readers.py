@@ -27,7 +27,7 @@ def read_blogs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _whole(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    df = spark.read.option("wholetext", True).text(path).select(file_name().alias("file"), "value")
+    df = spark.read.text(path, wholetext=True).select(file_name().alias("file"), "value")
     return df.select("file", F.from_json("value", kind).alias("all"), "value")
 
 
@@ -84,5 +84,5 @@ def read_bland(spark: SparkSession, path: str) -> DataFrame:
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     """Vector files: the first field of each line but the first line of a file."""
-    df = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
-    return df.filter((F.col("line_no") > 0) & (F.col("line") != "")).select("line_no", F.split("line", " ")[0].alias("word"))
+    df = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\n")).alias("line_no", "line"))
+    return df.filter((F.col("line_no") >= 1) & (F.col("line") != "")).select("line_no", F.split("line", " ")[0].alias("word"))

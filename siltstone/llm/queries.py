@@ -53,7 +53,8 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
-    n = [F.size(F.filter(base, lambda s, k=k: s["kind_no"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
+    of_kind = lambda k: F.filter(base, lambda s: s["kind_no"] == k)
+    n = [F.size(of_kind(k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
     return found.select("doc_id", *n, F.sha2(span_string(base), 256).alias("base_sha256"), span_string(F.col("spans")).alias("spans"))
 
 

@@ -170,7 +170,7 @@ def count_with_edits(
     """
     rows = docs.select(doc_id(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     if edits is not None:
-        own = edits.filter(F.col("start").isNotNull() & F.col("end").isNotNull()).groupBy(doc_id("doc_id").alias("own")).agg(F.array_sort(F.collect_list(F.struct(F.col("start").cast("long"), F.col("end").cast("long"), F.coalesce(F.col("new"), F.lit("")).alias("new")))).alias("edits"))
+        own = edits.filter(F.col("start").isNotNull() & F.col("end").isNotNull()).groupBy(doc_id("doc_id").alias("own")).agg(F.array_sort(F.collect_list(F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.coalesce(F.col("new"), F.lit("")).alias("new")))).alias("edits"))
         rows = rows.join(own, F.col("doc_id") == F.col("own"), "left").drop("own")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -24,6 +24,13 @@ def first_wins(df: DataFrame, key: Column, order: str, within: str | None = "fil
     return df.join(winners, on, "left_semi")
 
 
+def first_rows(df: DataFrame, key: str, order: str, keep: list[str], within: str | None = "file") -> DataFrame:
+    """As first_wins for narrow rows: the columns `keep` of each group's first row, in one pass over `df`."""
+    parts = [within] if within else []
+    rows = df.groupBy(*parts, key).agg(F.min_by(F.struct(*keep), order).alias("_row"))
+    return rows.select(*parts, key, "_row.*")
+
+
 def hash_key(texts: Column) -> Column:
     """Of an array of utterances: the hash of all, joined by blanks."""
     return text_hash(F.array_join(texts, " "))

@@ -94,3 +94,8 @@ def remove_codes_by_line(text: Column, collapse: Callable[[Column], Column] | No
     text = T.drop_dot_runs(T.drop_simple_tags(text))
     text = collapse(text) if collapse else text
     return F.transform(T.lines(text), lambda x: T.drop_comments(T.blank_markup(x)))
+
+
+def remove_codes_from_lines(cont: Column) -> Column:
+    """The code rules on each line of an array, with the pattern for repeats."""
+    return F.transform(cont, T.remove_codes)

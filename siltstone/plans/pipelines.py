@@ -24,8 +24,12 @@ def filter_documents(docs: DataFrame, blacklisted: Callable[[Column], Column] |
     return webdoc.clean_documents(docs, blacklisted, labels, **how)
 
 
-def dedup_and_merge(docs: DataFrame, score: Callable[[Column], Column] | None = None, at_most: float | None = None) -> DataFrame:
-    """Near-duplicates of a file go, then an optional score limit, the length band and the global order."""
+def dedup_and_merge(docs: DataFrame, score: Callable[[Column], Column] | None = None, at_most: float | None = None, skip: str | None = None) -> DataFrame:
+    """Near-duplicates of a file go, then an optional score limit, the length band and the global order.
+
+    Files whose name begins with `skip` (merged ones of an earlier run) are left out.
+    """
+    docs = docs.filter(~F.col("file").startswith(skip)) if skip else docs
     docs = dedup.charset_dedup(docs)
     if score:
         docs = docs.withColumn("perplexity", score(F.array_join("cont", "\n")))

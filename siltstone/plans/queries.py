@@ -134,9 +134,15 @@ def web_document_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length, codes, repeats, line ends, character-set dedup; counts by language."""
     docs = documents(spark, sf_dir).filter(webdoc.long_enough(F.col("cont")))
     lines = webdoc.remove_codes_by_line(F.col("text"), collapse_repeats)
-    docs = docs.withColumn("cont", F.filter(F.transform(lines, lambda x: T.ustrip(T.collapse_newlines(T.strip_trailing(x)))), lambda x: F.length(x) > 1)).filter(F.size("cont") > 0)
-    kept = dedup.charset_dedup(docs)
-    return kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.size("cont")).alias("n_lines"), F.sum(webdoc.T.joined_length(F.col("cont"))).alias("n_chars"))
+    return _kept_by_language(docs, F.transform(lines, lambda x: T.ustrip(T.collapse_newlines(T.strip_trailing(x)))))
+
+
+def _kept_by_language(docs: DataFrame, lines: Column) -> DataFrame:
+    """Character-set dedup of the cleaned lines.  Each document is cleaned once and then is a row of counts and a key."""
+    counts = lambda cont: F.struct(F.size(cont).alias("n_lines"), T.joined_length(cont).cast("long").alias("n_chars"), F.sha2(dedup.charset_key(cont), 256).alias("key"))
+    rows = docs.select("lang", "file", "line_no", T.bind(F.filter(lines, lambda x: F.length(x) > 1), counts).alias("x")).select("lang", "file", "line_no", "x.*")
+    kept = dedup.first_rows(rows, "key", "line_no", ["lang", "n_lines", "n_chars"]).filter("n_lines > 0")
+    return kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_lines").alias("n_lines"), F.sum("n_chars").alias("n_chars"))
 
 
 _CONT = "string_split(text, chr(10))"
@@ -153,9 +159,7 @@ SELECT lang, count(*) AS n_docs, CAST(sum(len(cont)) AS BIGINT) AS n_lines, CAST
 def web_document_slice_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The slice without the repeat rule, which the oracle cannot express."""
     docs = documents(spark, sf_dir).filter(webdoc.long_enough(F.col("cont")))
-    lines = F.transform(T.lines(T.drop_dot_runs(T.drop_simple_tags(F.col("text")))), lambda x: T.ustrip(T.strip_trailing(x)))
-    docs = docs.withColumn("cont", F.filter(lines, lambda x: F.length(x) > 1)).filter(F.size("cont") > 0)
-    return dedup.charset_dedup(docs).groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.size("cont")).cast("long").alias("n_lines"), F.sum(T.joined_length(F.col("cont"))).alias("n_chars"))
+    return _kept_by_language(docs, F.transform(T.lines(T.drop_dot_runs(T.drop_simple_tags(F.col("text")))), lambda x: T.ustrip(T.strip_trailing(x))))
 
 
 @query(f"SELECT doc_id, CAST(length(array_to_string({_CONT}, '')) AS BIGINT) AS n FROM documents WHERE length(array_to_string({_CONT}, '')) BETWEEN 10 AND 20000")

@@ -51,6 +51,11 @@ def read_dialogues(spark: SparkSession, path: str, wrapped: bool = False, compat
     return df.select("file", F.posexplode("all").alias("seq", "x")).select("file", "seq", "x.senders", "x.texts")
 
 
+def read_text_lists(spark: SparkSession, path: str) -> DataFrame:
+    """Whole-file JSON arrays of conversations that are plain arrays of texts: ``texts``."""
+    return _whole(spark, path, "array<array<string>>").select(F.explode("all").alias("texts"))
+
+
 def read_documents(spark: SparkSession, path: str, schema: str = WEB_DOCUMENT, skip: int = -1) -> DataFrame:
     """JSON lines: the columns of `schema`, ``file`` and ``line_no``.  Files are split freely; bad lines raise an error.
 

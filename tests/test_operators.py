@@ -148,6 +148,9 @@ def test_sources_and_sinks(spark, tmp_path):
     assert readers.read_dialogues(spark, str(tmp_path / "[pq].json"), compat=True).count() == 2
     (tmp_path / "w.json").write_text(json.dumps([[{"senders": ["a"], "texts": ["x"]}]]))
     assert readers.read_dialogues(spark, str(tmp_path / "w.json"), wrapped=True).first()["texts"] == ["x"]
+    (tmp_path / "l.json").write_text(json.dumps([["a", "b"], ["c"]]))
+    merged = writers.union_all(dialogue.text_only(readers.read_dialogues(spark, str(tmp_path / "p.json"))), readers.read_text_lists(spark, str(tmp_path / "l.json")))
+    assert sorted(r["texts"] for r in merged.collect()) == [["a", "b"], ["c"], ["x"], ["y"]]
     (tmp_path / "d.txt").write_text("".join(json.dumps({"url": str(i), "lang": "zh", "cont": [f"line {i}"]}) + "\n" for i in range(5)))
     docs = readers.read_documents(spark, str(tmp_path / "d.txt"))
     assert [r["url"] for r in docs.orderBy("line_no").collect()] == list("01234")
@@ -179,6 +182,8 @@ def test_web_filter_and_stream(spark, tmp_path):
     got = pipelines.filter_documents(docs.withColumn("cont", F.concat("cont", F.array(F.lit("第二行的文字也很长")))), has_keyword(["赌博"])).collect()
     assert [r["url"] for r in got if r["url"] != "2"] == ["1"]
     assert pipelines.dedup_and_merge(docs).count() == 1
+    assert pipelines.dedup_and_merge(docs, skip="a.").count() == 0
+    assert docs.select(webdoc.remove_codes_from_lines(F.array(F.lit("1000"), F.lit("a<b>")))).first()[0] == ["10", "a"]
     query = clean_stream(document_stream(spark, str(src)), blacklisted=has_keyword(["赌博"])).writeStream.format("memory").queryName("cleaned").outputMode("append").start()
     query.processAllAvailable()
     query.stop()

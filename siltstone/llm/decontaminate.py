@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import doc_id, materialize
 
 #: Bytes of text in a segment of the index, and in a block of items that is sent to all segments.
-SEGMENT, BLOCK = 8 << 20, 8 << 20
+SEGMENT, BLOCK = 4 << 20, 8 << 20
 
 INDEX = "segment long, term binary, n long, postings binary, doc_id long, start long"
 

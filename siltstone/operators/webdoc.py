@@ -98,4 +98,4 @@ def remove_codes_by_line(text: Column, collapse: Callable[[Column], Column] | No
 
 def remove_codes_from_lines(cont: Column) -> Column:
     """The code rules on each line of an array, with the pattern for repeats."""
-    return F.transform(cont, T.remove_codes)
+    return F.transform(cont, lambda x: T.remove_codes(x))

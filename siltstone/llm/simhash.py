@@ -8,9 +8,9 @@ link:
 * inside them rows are in order of their population count, and rows or tiles whose counts differ
   by more than `radius` are skipped, since each differing bit changes the count by one at most.
 
-Both rules are exact: nothing within the radius is lost.  A band value that very many fingerprints
-share is cut into tiles by population count and a hash, and each pair of tiles is a group of its own,
-so no task holds the whole of it.  Copies (equal fingerprints) are merged before, and a tile gives at
+Both rules are exact: nothing within the radius is lost.  A band value that many fingerprints share is
+cut into tiles by population count and a hash, and each pair of tiles is a group of its own, so no
+task holds the whole of it; one that very many share is banded once more on its other bits.  Copies (equal fingerprints) are merged before, and a tile gives at
 most one link a row (a spanning forest), never all of its pairs.
 
 Components come from smallest-label spreading with pointer jumping over the links; labels are written
@@ -177,17 +177,45 @@ def near_in_tiles(a: np.ndarray, b: np.ndarray | None, radius: int, rows: int =
     return links.result(fp)
 
 
-def _bands(fp: Column, radius: int) -> Column:
-    n = radius + 1
-    edge = [64 * i // n for i in range(n + 1)]
-    part = lambda lo, hi: F.call_function("shiftrightunsigned", F.call_function("shiftleft", fp, F.lit(64 - hi)), F.lit(64 - hi + lo))
-    return F.array(*[F.struct(F.lit(i).alias("band"), part(edge[i], edge[i + 1]).alias("value")) for i in range(n)])
+def _bands(radius: int, inside: int = 0) -> list[int]:
+    """Masks that have all bits of `inside` and one part each of the others: fingerprints within `radius` agree under one."""
+    free, n = [b for b in range(64) if not inside >> b & 1], radius + 1
+    return [inside | sum(1 << b for b in free[len(free) * i // n : len(free) * (i + 1) // n]) for i in range(n)]
 
 
-def near_links(prints: DataFrame, radius: int = 3, tile: int = 2048) -> DataFrame:
-    """Links ``a, b`` between distinct fingerprints (column ``fp``) that connect all within `radius` of each other."""
-    banded = prints.select("fp", F.explode(_bands(F.col("fp"), radius)).alias("x")).select("fp", "x.band", "x.value")
-    large = materialize(banded.groupBy("band", "value").count().filter(F.col("count") > tile), "simhash-large")
+def _masks(masks: list[int], first: int) -> Column:
+    """An array of structs of each mask and its number, from `first` on."""
+    return F.array(*[F.struct(F.lit(first + i).alias("band"), F.lit(m - (m >> 63 << 64)).cast("long").alias("mask")) for i, m in enumerate(masks)])
+
+
+def _banded(rows: DataFrame, masks: Column) -> DataFrame:
+    """``fp, band, value``: a row for each of `masks`."""
+    return rows.select("fp", F.explode(masks).alias("m")).select("fp", "m.band", F.col("fp").bitwiseAND(F.col("m.mask")).alias("value"))
+
+
+def near_links(prints: DataFrame, radius: int = 3, tile: int = 2048, dense: int = 8) -> DataFrame:
+    """Links ``a, b`` between distinct fingerprints (column ``fp``) that connect all within `radius` of each other.
+
+    The rows of a band's value are compared in one piece up to `tile` of them, and in pairs of tiles up to
+    `dense` times as many.  Beyond that they are banded once more, on the bits that the band leaves: fingerprints
+    within the radius agree on one of those parts too.  So the work a fingerprint makes does not grow with the table
+    until values of both bands together (28 bits, for radius 3) are shared by more than a tile.
+    """
+    outer, n = _bands(radius), radius + 1
+    banded = _banded(prints, _masks(outer, 0))
+    crowd = materialize(banded.groupBy("band", "value").count().filter(F.col("count") > tile), "simhash-large")
+    small, large = banded, None
+    if not crowd.isEmpty():
+        small = banded.join(crowd, ["band", "value"], "left_anti")
+        large = banded.join(crowd, ["band", "value"])
+        deep = crowd.filter(F.col("count") > dense * tile)
+        if not deep.isEmpty():
+            large = large.filter(F.col("count") <= dense * tile)
+            inner = F.array(*[_masks(_bands(radius, m), n + i * n) for i, m in enumerate(outer)])
+            again = materialize(_banded(banded.join(deep, ["band", "value"]), F.get(inner, F.col("band"))), "simhash-inner")
+            crowd = materialize(again.groupBy("band", "value").count().filter(F.col("count") > tile), "simhash-large")
+            small = small.unionByName(again.join(crowd, ["band", "value"], "left_anti"))
+            large = large.unionByName(again.join(crowd, ["band", "value"]))
 
     def in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -213,14 +241,12 @@ def near_links(prints: DataFrame, radius: int = 3, tile: int = 2048) -> DataFram
             return near_in_tiles(fp, None, radius)
         return near_in_tiles(fp[first], fp[~first], radius) if first.any() and not first.all() else pd.DataFrame({"a": [], "b": []}, dtype="int64")
 
-    small, out = banded, None
-    if not large.isEmpty():
-        small = banded.join(large, ["band", "value"], "left_anti")
-        cut = banded.join(large, ["band", "value"])
+    out = None
+    if large is not None:
         count = F.bit_count("fp")
         many = F.ceil(F.col("count") / (2.0 * tile)).cast("long")
         own = count * many + F.pmod(F.xxhash64(F.lit("tile"), "fp"), many)
-        cut = cut.select("band", "value", "fp", own.alias("own"), F.explode(F.sequence((count - radius) * many, (count + radius + 1) * many - 1)).alias("other"))
+        cut = large.select("band", "value", "fp", own.alias("own"), F.explode(F.sequence((count - radius) * many, (count + radius + 1) * many - 1)).alias("other"))
         cut = cut.select("band", "value", "fp", "own", F.least("own", "other").alias("ta"), F.greatest("own", "other").alias("tb"))
         out = cut.groupBy("band", "value", "ta", "tb").applyInPandas(tiles, "a long, b long")
     ordered = small.repartition("band", "value").sortWithinPartitions("band", "value", F.bit_count("fp")).mapInPandas(in_order, "a long, b long")
@@ -252,13 +278,14 @@ def simhash_components(
     radius: int = 3,
     salts: int = 32,
     tile: int = 2048,
+    dense: int = 8,
     seed: int = 42,
 ) -> DataFrame:
     """One row per row of `docs`: ``doc_id, fingerprint`` (16 hex digits), ``component_id`` (the smallest id reachable)."""
     rows = materialize(fingerprint_table(docs, id_col, text_col, width, seed).withColumn("salt", salt_of(F.col("doc_id"), salts)), "simhash-rows")
     by_salt = rows.groupBy("fp", "salt").agg(F.min("doc_id").alias("first"))
     prints = materialize(by_salt.groupBy("fp").agg(F.min("first").alias("first"), F.bit_or(salt_mask(F.col("salt"))).alias("mask")), "simhash-prints")
-    links = materialize(near_links(prints.select("fp"), radius, tile), "simhash-links")
+    links = materialize(near_links(prints.select("fp"), radius, tile, dense), "simhash-links")
     least = prints.withColumnRenamed("first", "component_id")
     if not links.isEmpty():
         label = connected(links)

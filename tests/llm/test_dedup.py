@@ -82,11 +82,24 @@ def test_links_of_hot_groups(spark):
     prints = sorted({centre ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 62, (300, 2))} | {int(x) for x in rng.integers(0, 2**63, 100)})
     df = spark.createDataFrame([(p,) for p in prints], "fp long")
     want = brute_components(prints)
-    for tile in (8, 64, 4096):
-        labels = {r["v"]: r["label"] for r in S.connected(S.near_links(df, tile=tile)).collect()}
+    for tile, dense in ((8, 1), (8, 4), (64, 2), (64, 100), (4096, 1)):
+        labels = {r["v"]: r["label"] for r in S.connected(S.near_links(df, tile=tile, dense=dense)).collect()}
         assert [labels.get(p, p) for p in prints] == [min(q for q, x in zip(prints, want) if x == want[i]) for i in range(len(prints))]
 
 
+def test_bands():
+    """Any two fingerprints within the radius agree under an outer mask, and under an inner one of it."""
+    rng = random.Random(7)
+    for radius in (1, 3, 5):
+        outer = S._bands(radius)
+        assert sum(outer) == 2**64 - 1
+        for _ in range(200):
+            apart = sum(1 << b for b in rng.sample(range(64), radius))
+            same = [m for m in outer if not m & apart]
+            assert same and all(any(not x & apart for x in S._bands(radius, m)) for m in same)
+            assert all(x & m == m and x != m for m in outer for x in S._bands(radius, m))
+
+
 def test_simhash_of_odd_tables(docs_of):
     assert S.simhash_components(docs_of(["x"]).limit(0)).count() == 0
     got = S.simhash_components(docs_of([(None, "a b c d", "en", "s"), (3, "a b c d", "en", "s"), (3, "a b c d", "en", "s"), (None, None, "en", "s")])).collect()

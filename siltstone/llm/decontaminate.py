@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import doc_id, materialize
 
 #: Bytes of text in a segment of the index, and in a block of items that is sent to all segments.
-SEGMENT, BLOCK = 4 << 20, 8 << 20
+SEGMENT, BLOCK = 4 << 20, 4 << 20
 
 INDEX = "segment long, term binary, n long, postings binary, doc_id long, start long"
 
@@ -97,7 +97,9 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def windows(items: list[tuple[str, list[bytes]]], size: int) -> dict[tuple[bytes, ...], set[str]]:
     """Each distinct window of `size` words with the items that have it."""
     out: dict[tuple[bytes, ...], set[str]] = {}
+    once: dict[bytes, bytes] = {}  # one object a term, for memory and for what is sent
     for key, own in items:
+        own = [once.setdefault(w, w) for w in own]
         for i in range(max(1, len(own) - size + 1) if own else 0):
             out.setdefault(tuple(own[i : i + size]), set()).add(key)
     return out
@@ -121,7 +123,7 @@ def occurrences(lists: dict[bytes, np.ndarray], phrase: tuple[bytes, ...], slop:
 
 
 def _match(phrases: dict[tuple[bytes, ...], set[str]], slop: int):
-    parts = [(p, frozenset(p), tuple(sorted(k))) for p, k in phrases.items()]
+    parts = [(p, tuple(sorted(k))) for p, k in phrases.items()]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         is_doc = pdf["term"].isna().to_numpy()
@@ -129,11 +131,11 @@ def _match(phrases: dict[tuple[bytes, ...], set[str]], slop: int):
         lists = {bytes(t): np.frombuffer(p, dtype="<i4") for t, p in zip(own["term"], own["postings"])}
         place = pdf.loc[is_doc, ["start", "n"]].astype("int64").sort_values("start")
         start, n = place["start"].to_numpy(), place["n"].to_numpy()
-        have = lists.keys()
+        have = lists.__contains__
         ids: dict[int, set[str]] = {}
         docs, los, his = [], [], []
-        for phrase, terms, keys in parts:
-            if not terms <= have or not len(at := occurrences(lists, phrase, slop)):
+        for phrase, keys in parts:
+            if not all(map(have, phrase)) or not len(at := occurrences(lists, phrase, slop)):
                 continue
             d = np.maximum(np.searchsorted(start, at, side="right") - 1, 0)
             lo, hi = np.maximum(at - start[d] - slop, 0), np.minimum(at - start[d] + len(phrase) + slop, n[d])

@@ -1,15 +1,21 @@
-"""From raw documents to a training mix.  Each stage takes what its predecessor kept."""
+"""From raw documents to a training mix.  Each stage takes what its predecessor kept.
+
+Defined results: null and empty texts have no letter and go in the first stage.  Rows with the same id are one
+document if their texts are equal, else separate ones that near-dedup, decontamination and the mix treat alike
+where they agree in what the stage looks at.  An empty table gives no rows.  Extra columns are kept, whatever
+their names; only ``copies`` and ``taken`` give way to those of the mix.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import materialize
+from siltstone.llm.common import free_name, materialize
 from siltstone.llm.decontaminate import decontaminate
 from siltstone.llm.exact_dedup import exact_dedup, normalised, sha256
 from siltstone.llm.language_id import UNKNOWN, predictor, train
-from siltstone.llm.mixing import mix
+from siltstone.llm.mixing import mix, n_words
 from siltstone.llm.simhash import simhash_components
 
 #: Documents whose best language has a smaller mean probability than this are in none that was learned.
@@ -28,9 +34,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of equal texts, and one row of each kept document."""
     kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest")).distinct()
-    rows = docs.withColumn("_digest", sha256(normalised(F.col("text"))))
-    same = rows["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (rows["_digest"] == kept["kept_digest"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
+    own = free_name(docs, "digest")
+    rows = docs.withColumn(own, sha256(normalised(F.col("text"))))
+    same = rows["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (rows[own] == kept["kept_digest"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +54,11 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with ``copies`` (how often) and ``taken`` (words, repeats counted)."""
-    took = mix(docs).filter("copies > 0").select(F.col("doc_id").alias("mix_id"), "copies", "taken").dropDuplicates(["mix_id"])
-    return docs.join(took, docs["doc_id"].cast("long").eqNullSafe(took["mix_id"])).drop("mix_id")
+    rows = docs.drop("copies", "taken")
+    keys = F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("size").alias("mix_size")
+    took = mix(docs).filter("copies > 0").groupBy(*keys).agg(F.max("copies").alias("copies"), F.max("taken").alias("taken"))
+    same = rows["doc_id"].cast("long").eqNullSafe(took["mix_id"]) & rows["source"].cast("string").eqNullSafe(took["mix_source"]) & (n_words(rows["text"]) == took["mix_size"])
+    return rows.join(took, same).select(*[rows[c] for c in rows.columns], took["copies"], took["taken"])
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact), ("near_dedup", near), ("decontaminate", clean_of_benchmark), ("mix", mixed)]

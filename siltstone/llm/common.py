@@ -76,6 +76,14 @@ def doc_id(name: str = "doc_id") -> Column:
     return F.col(name).cast("long")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with as many underscores before it as it takes to differ from all columns of `df`."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def salt_of(key: Column, salts: int) -> Column:
     """A salt in 0 .. salts-1 that depends on the row's own id only, so that it survives recomputation."""
     return F.pmod(F.xxhash64(F.lit("salt"), key), F.lit(salts)).cast("int")

@@ -94,8 +94,10 @@ def test_pipeline(spark, tmp_path):
     en = [" ".join(rng.choice("the and thing over water house with from shed wind".split()) + rng.choice("abcdefgh") * rng.randint(0, 4) for _ in range(60)) for _ in range(40)]
     passage = " ".join(f"bench{i}" for i in range(20))
     texts = [*en, en[0], en[1] + "  ", en[2] + " .", "123 ---", None, "", en[3] + " " + passage, *en[:0]]
-    rows = [(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = [(i, t, "en", None if i % 3 == 2 else f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, rows[5]], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.lit("clash") for c in ("digest", "_digest", "kept_id", "bad_id", "mix_id", "copies", "taken", "size", "salt", "fp")})
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, passage)], "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
     docs, kept = spark.read.parquet(str(tmp_path / "documents.parquet")), []
     for k, (name, stage) in enumerate(C.STAGES[:-1]):
@@ -104,11 +106,16 @@ def test_pipeline(spark, tmp_path):
         out.write.parquet(str(tmp_path / str(k)))
         docs = spark.read.parquet(str(tmp_path / str(k)))
         kept.append({r["doc_id"] for r in docs.collect()})
+        assert docs.count() == len(kept[-1]) + (k == 0)  # row 5 is there twice
     ids = set(range(len(texts)))
     assert kept[0] == ids - {43, 44, 45}
     # of equal texts the longest stays: 41 has two blanks more than 1
     assert kept[1] == kept[0] - {40, 1}
     assert kept[2] <= kept[1] and 41 in kept[2] and len(kept[2] & set(range(40))) >= 36
     assert kept[3] == kept[2] - {46}
-    mixed = C.run(spark, str(tmp_path)).collect()
-    assert {r["doc_id"] for r in mixed} <= kept[3] and all(0 < r["copies"] <= 2 for r in mixed)
+    mixed = C.run(spark, str(tmp_path))
+    assert mixed.columns == [c for c in docs.columns if c not in ("copies", "taken")] + ["copies", "taken"]
+    mixed = mixed.collect()
+    assert {r["doc_id"] for r in mixed} <= kept[3] and all(0 < r["copies"] <= 2 and r["digest"] == r["mix_id"] == "clash" for r in mixed)
+    want = {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect() if r["copies"]}
+    assert {r["doc_id"]: r["taken"] for r in mixed} == want

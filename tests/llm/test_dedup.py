@@ -148,6 +148,30 @@ def test_passages(docs_of, edge):
     assert near_passages(docs_of(["x"]).limit(0)).count() == 0
 
 
+def test_passages_of_frequent_lines(docs_of):
+    rng = np.random.default_rng(5)
+    fill = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**9, n))
+    lines = [fill(20) for _ in range(36)]
+    # each line alone, in other company twice, and then threes of lines that only two or three later documents share
+    texts = [f"{fill(40)} {x} {fill(40)}" for x in lines for _ in range(2)]
+    texts += [f"{fill(45)} {lines[i]} {fill(30)} {lines[i]}" for i in range(12)]
+    for i in range(0, 36, 3):
+        texts += [f"{fill(30)} {' '.join(lines[i : i + 3])} {fill(35)}" for _ in range(2 + i % 2)]
+    seen, want = {}, {}
+    for i, t in enumerate(texts):
+        w = t.split()
+        places = [(p, " ".join(w[p : p + 50])) for p in range(len(w) - 49)]
+        want[i] = {p + x for p, s in places if s in seen for x in range(50)}
+        for _, s in places:
+            seen.setdefault(s, i)
+    assert sum(map(len, want.values())) >= 12 * 60
+    # one task, so that the lines alone come first in every group
+    rows = {r["doc_id"]: r for r in substring_dedup(docs_of(texts).coalesce(1)).collect()}
+    for i in want:
+        got = {x for s in rows[i]["spans"] for x in range(s["start"], s["end"])}
+        assert want[i] <= got and (want[i] or not got), i
+
+
 def test_tokens_are_of_five_words():
     assert len(tokens("a b c d", 5)) == 0 and len(tokens("a b c d e f", 5)) == 2
     assert tokens("A, b. C d e", 5)[0] == tokens("a b c d e", 5)[0]

@@ -5,10 +5,11 @@
    identity numbers, secrets.  Spans of different generators may overlap.
 2. Every candidate gets format features (digits, separators, check sums, ...) and context features (cue
    words before it, what it touches).
-3. Boosted trees score the candidates.  They are fitted on a bounded sample (`sample` candidates with the
-   smallest hash); its labels are each format's own validity rules.  Trees become CASE expressions.
-4. A threshold for each kind is calibrated on the other half of the sample: the lowest with at least
-   `precision`.  Base spans that pass their own check always stay; others stay if they reach the threshold
+3. Boosted trees score the candidates.  They are fitted on half of a bounded sample: `sample` candidates in
+   all, shared among the kinds so that rare ones come whole, and of each kind those with the smallest
+   hash.  Its labels are each format's own validity rules.  Trees become CASE expressions.
+4. A threshold for each kind is calibrated on the other half of the kind's sample: the lowest with at least
+   `precision`.  A kind for which there is none (or no such half) goes by its format's own rules.  Base spans that pass their own check always stay; others stay if they reach the threshold
    and overlap no base span and no accepted one before them.
 
 Patterns are written so that they take linear time: quantifiers are possessive and a match cannot start
@@ -208,6 +209,15 @@ def calibrate(score: np.ndarray, y: np.ndarray, precision: float) -> float:
     return float(score[order][ok[-1]]) if len(ok) else float("inf")
 
 
+def shares(sizes: list[int], most: int) -> list[int]:
+    """How many of each group to draw, `most` in all: small groups whole, the others as many each."""
+    out, left = [0] * len(sizes), most
+    for i, k in enumerate(order := sorted(range(len(sizes)), key=lambda k: sizes[k])):
+        out[k] = min(sizes[k], left // (len(order) - i))
+        left -= out[k]
+    return out
+
+
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 20_000, precision: float = 0.98) -> DataFrame:
     """One row per row of `docs`: ``doc_id, row, spans``; a span is ``kind_no, start, end, base, score``, in order."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -224,18 +234,22 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
     names = list(features)
     known = materialize(each.select("row", "name", "kind_no", "start", "end", "base", _silver(F.col("name"), F.col("match")).alias("silver"), *[v.alias(k) for k, v in features.items()]), "pii-features")
 
-    drawn = known.select("kind_no", "silver", F.xxhash64("row", "name", "start").alias("draw"), *names).orderBy("draw", "kind_no", *names).limit(sample).collect()
+    counted = {r["kind_no"]: r["count"] for r in known.groupBy("kind_no").count().collect()}  # at most one row a kind
+    draw = shares([counted.get(k, 0) for k in range(len(KINDS))], sample)
+    some = known.select("kind_no", "silver", F.xxhash64("row", "name", "start").alias("draw"), *names)
+    each = [some.filter(F.col("kind_no") == k).orderBy("draw", *names).limit(n).collect() for k, n in enumerate(draw) if n]
+    drawn = [r for rows in each for r in rows]
     x = np.array([[r[k] for k in names] for r in drawn], dtype=float).reshape(len(drawn), len(names))
     y = np.array([r["silver"] for r in drawn], dtype=float)
     kind = np.array([r["kind_no"] for r in drawn], dtype=int)
-    fit = np.arange(len(y)) % 2 == 0
+    fit = np.array([i % 2 == 0 for rows in each for i in range(len(rows))], dtype=bool)  # in each kind, every second one
     trees = fit_trees(x[fit], y[fit])
     score = sum((_apply(t, x) for t in trees), np.zeros(len(y)))
     least = [calibrate(score[~fit & (kind == k)], y[~fit & (kind == k)], precision) for k in range(len(KINDS))]
 
     known = known.withColumn("score", F.expr(" + ".join(_as_sql(t, names) for t in trees)))
-    threshold = F.element_at(F.array(*[F.lit(min(t, 1e9)) for t in least]), F.col("kind_no") + 1)
-    spans = known.select("row", "name", "kind_no", "start", "end", "base", "score").filter(F.col("base") | (F.col("score") >= threshold))
+    threshold = F.element_at(F.array(*[F.lit(t if np.isfinite(t) else None).cast("double") for t in least]), F.col("kind_no") + 1)
+    spans = known.select("row", "name", "kind_no", "start", "end", "base", "score", F.coalesce(F.col("score") >= threshold, F.col("silver") > 0).alias("taken")).filter(F.col("base") | F.col("taken"))
     # other spans must not overlap a base span, nor an earlier other one
     by = W.partitionBy("row").orderBy("start", "end", "kind_no", "name")
     before, after = by.rowsBetween(W.unboundedPreceding, -1), by.rowsBetween(1, W.unboundedFollowing)

@@ -154,6 +154,15 @@ def test_personal_data(docs_of, edge):
     assert "ArrowEval" not in pii.find_pii(more)._jdf.queryExecution().toString()
 
 
+def test_rare_kinds_keep_their_spans(docs_of):
+    assert pii.shares([500, 3, 0, 90, 700, 10], 300) == [98, 3, 0, 90, 99, 10] and pii.shares([2, 1], 9) == [2, 1]
+    kinds = lambda rows: [[pii.KINDS[s["kind_no"]] for s in r["spans"]] for r in sorted(rows, key=lambda r: r["doc_id"])]
+    rare = ["ssn 123-45-6789", "password=ab12cd34ef56"]
+    assert kinds(pii.find_pii(docs_of(rare)).collect()) == [["ssn"], ["secret"]]
+    rows = kinds(pii.find_pii(docs_of(["a@b.cd or +1 555 555 1234 " * 50] * 40 + rare), sample=60).collect())
+    assert rows[40:] == [["ssn"], ["secret"]] and all(len(r) == 100 for r in rows[:40])
+
+
 def test_boosting_and_calibration():
     rng = np.random.default_rng(0)
     x = rng.random((400, 3))

@@ -7,6 +7,8 @@ wins.  What no rule decides, the tree does:
 2. From the root down, a segment stays literal if it has at least one in `branches` of the rows that
    reached its node; all others become the wildcard ``*``.  So a node has at most ``branches + 1``
    children, and ids and titles fall together.
+   The first `depth` segments are looked at in any case, further ones level by level while a node has both
+   blocked and allowed rows and more than one path; below any other there is nothing to tell apart.
 3. Children of one node whose share of blocked rows does not differ significantly are merged: they get
    one common count.
 4. A node's purity is its share of blocked among labelled rows, smoothed towards its parent's with
@@ -26,6 +28,7 @@ gives no rows.  Other columns are not looked at.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import pandas as pd
@@ -75,24 +78,29 @@ def _merged(z: float):
 
 
 def templates(counts: DataFrame, depth: int = 4, branches: int = 32) -> DataFrame:
-    """`counts` (``host, shape, ...``, with ``n`` rows each) with a column ``nodes``: its template's nodes from the root down."""
+    """`counts` (``host, shape, bad, good, ...``, with ``n`` rows each) with a column ``nodes``: its template's nodes from the root down."""
     sep = "\u0001"  # no part of a url
     seg = F.filter(F.split("shape", "/"), lambda s: s != "")
     rows = counts.withColumn("seg", seg).withColumn("at", F.col("host")).withColumn("nodes", F.array("host"))
-    for d in range(depth):
+    for d in itertools.count():
         here = F.get("seg", F.lit(d))
-        rows = materialize(rows.withColumn("here", here), "url-level")
+        if d >= depth:
+            divided = (F.sum("bad") > 0) & (F.sum("good") > 0) & (F.min("shape") != F.max("shape"))
+            rows = rows.join(rows.groupBy("at").agg(divided.alias("divided")).filter("divided"), "at", "left")
+            here = F.when(F.col("divided"), here)
+        rows = materialize(rows.withColumn("here", here).drop("divided"), "url-level")
+        if rows.filter("here is not null").isEmpty():
+            return rows.drop("seg", "at", "here")
         by_child = rows.filter("here is not null").groupBy("at", "here").agg(F.sum("n").alias("n"))
         total = rows.groupBy("at").agg(F.sum("n").alias("total"))
         literal = by_child.join(total, "at").filter(F.col("n") * branches >= F.col("total")).select("at", "here", F.lit(True).alias("literal"))
         name = F.concat("at", F.lit(sep), F.when(F.col("literal"), F.col("here")).otherwise("*"))
         rows = rows.join(literal, ["at", "here"], "left")
-        rows = rows.withColumn("at", F.when(F.col("here").isNull(), F.col("at")).otherwise(name))
-        rows = rows.withColumn("nodes", F.when(F.col("here").isNull(), F.col("nodes")).otherwise(F.concat("nodes", F.array("at")))).drop("literal", "here")
-    return rows.drop("seg", "at")
+        rows = rows.withColumn("nodes", F.when(F.col("here").isNull(), F.col("nodes")).otherwise(F.concat("nodes", F.array(name))))
+        rows = rows.withColumn("at", F.element_at("nodes", -1)).drop("literal", "here")
 
 
-def template_purity(rows: DataFrame, depth: int = 4, weight: float = 8.0, z: float = 1.96) -> DataFrame:
+def template_purity(rows: DataFrame, weight: float = 8.0, z: float = 1.96) -> DataFrame:
     """``node, purity`` of every node; `rows` has ``nodes, bad, good``."""
     # at most one row of sums: the share over all hosts
     all_ = rows.agg(F.sum("bad"), F.sum("good")).first()
@@ -104,9 +112,10 @@ def template_purity(rows: DataFrame, depth: int = 4, weight: float = 8.0, z: flo
     smooth = lambda above: (F.col("bad") + weight * above) / (F.col("bad") + F.col("good") + weight)
     level = each.filter("level = 0").select("node", smooth(F.lit(prior)).alias("purity"))
     out = level
-    for d in range(1, depth + 1):
+    for d in range(1, int(each.agg(F.max("level")).first()[0] or 0) + 1):
         own = each.filter(F.col("level") == d).groupBy("parent").applyInPandas(_merged(z), "node string, parent string, bad long, good long")
         level = own.join(level.select(F.col("node").alias("parent"), F.col("purity").alias("above")), "parent").select("node", smooth(F.col("above")).alias("purity"))
+        level = materialize(level, "url-purity")
         out = out.unionByName(level)
     return out
 
@@ -137,7 +146,7 @@ def judge_urls(
     by_salt = rows.groupBy("host", "shape", "salt").agg(*sums)
     counts = by_salt.groupBy("host", "shape").agg(*[F.sum(c).alias(c) for c in ("n", "bad", "good")], F.bit_or(salt_mask(F.col("salt"))).alias("mask"))
     cut = materialize(templates(counts, depth, branches), "url-templates")
-    purity = template_purity(cut, depth, weight)
+    purity = template_purity(cut, weight)
     leaf = cut.select("host", "shape", "mask", F.element_at("nodes", -1).alias("node"))
     known = leaf.join(purity, "node").select("host", "shape", F.translate("node", "\u0001", "/").alias("template"), "purity", F.explode(salts_in(F.col("mask"), salts)).alias("salt"))
     own = F.when(F.col("purity") >= limit, "block").otherwise("allow")

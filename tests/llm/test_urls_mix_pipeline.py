@@ -48,6 +48,16 @@ def test_templates_learn(spark):
     assert a == b > 0.5 > c  # a and b are merged
 
 
+def test_templates_of_deep_paths(spark):
+    rows = [(i, f"http://h.net/a/b/c/d/{'x/' * (i % 5)}{'ads' if i % 2 else 'news'}/{i}.html") for i in range(400)]
+    rows += [(400 + i, f"http://h.net/a/b/c/d/{'y/' * 40}{i}.html") for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id int, url string")
+    known = F.when(F.col("page_id") % 4 < 2, F.col("url").contains("/ads/"))
+    got = judge_urls(df, [], label=known).collect()
+    assert len(got) == 440 and all(r["verdict"] == ("block" if "/ads/" in r["path"] else "allow") for r in got)
+    assert not any("y/y/y" in r["template"] for r in got)  # a pure branch is not followed
+
+
 def test_water_filling():
     assert mixing.water_fill([10, 10], [1, 1], 30, 2) == [15, 15]
     assert mixing.water_fill([1, 100], [5, 1], 60, 2) == [2, 58]

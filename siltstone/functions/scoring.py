@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN, PADDING = "<UNK>", "<PAD>"
@@ -76,12 +76,39 @@ class CharTrigrams:
     """A deterministic stand-in for a language model: character trigrams with one added to each count."""
 
     def __init__(self, texts: list[str]) -> None:
-        self.three, self.two = Counter(), Counter()
-        self.size = len({c for t in texts for c in t}) + 1
+        grams = Counter()
         for t in texts:
-            t = f"\x02\x02{t}"
-            self.three.update(t[i : i + 3] for i in range(len(t) - 2))
-            self.two.update(t[i : i + 2] for i in range(len(t) - 1))
+            grams.update(self.grams(t))
+        self._learn(grams)
+
+    @staticmethod
+    def grams(text: str) -> Iterator[str]:
+        """The trigrams and bigrams of a text and its start."""
+        t = f"\x02\x02{text}"
+        yield from (t[i : i + 3] for i in range(len(t) - 2))
+        yield from (t[i : i + 2] for i in range(len(t) - 1))
+
+    def _learn(self, grams: dict[str, int]) -> None:
+        self.three = Counter({g: n for g, n in grams.items() if len(g) == 3})
+        self.two = Counter({g: n for g, n in grams.items() if len(g) == 2})
+        self.size = len({g[2] for g in self.three}) + 1  # each character ends a trigram
+
+    @classmethod
+    def of_column(cls, df: DataFrame, col: str = "text") -> CharTrigrams:
+        """Learnt from all texts of a column (nulls are none).  The driver gets the counts, a row for each distinct n-gram."""
+
+        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            grams = Counter()
+            for pdf in batches:
+                for t in pdf["text"]:
+                    if isinstance(t, str):
+                        grams.update(cls.grams(t))
+            yield pd.DataFrame({"gram": list(grams), "n": list(grams.values())})
+
+        counts = df.select(F.col(col).alias("text")).mapInPandas(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        model = cls([])
+        model._learn({r["gram"]: r["n"] for r in counts.collect()})
+        return model
 
     def perplexity(self, text: str, window: int = 1024, stride: int = 512) -> float:
         t = f"\x02\x02{text}"

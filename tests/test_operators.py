@@ -203,3 +203,16 @@ def test_scorers(spark):
     assert model.perplexity("abc") < model.perplexity("xyz")
     assert scoring.sliding_perplexity(lambda places, new: 1.0, 2000) == pytest.approx(2.718281828)
     assert scoring.encode_chars("ab?", {"a": 0, "b": 1, "<UNK>": 2, "<PAD>": 3}, 5) == [0, 1, 2, 3, 3]
+
+
+def test_trigrams_of_the_whole_benchmark(spark, tmp_path):
+    from siltstone.plans.queries import trigram_perplexity
+
+    texts = [f"item {i}" for i in range(1000)] + ["zebra zebra é😀"] * 500 + [""]
+    spark.createDataFrame(list(enumerate(texts)), "item_id int, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    asked = ["a zebra", "item 7", "é😀?"]
+    spark.createDataFrame(list(enumerate(asked)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    whole = scoring.CharTrigrams(texts)
+    got = {r["doc_id"]: r["perplexity"] for r in trigram_perplexity(spark, str(tmp_path)).collect()}
+    for i, t in enumerate(asked):
+        assert got[i] == pytest.approx(whole.perplexity(t), abs=1e-6)

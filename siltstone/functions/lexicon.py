@@ -1,6 +1,6 @@
 """Keyword lists: does a text contain one?
 
-Matching ignores case.  A keyword must not touch a letter, digit or underscore of ASCII on a side where it has
+Matching ignores case: text and keywords are compared in lower case, whatever the length of the list.  A keyword must not touch a letter, digit or underscore of ASCII on a side where it has
 such a character itself; so ASCII keywords match whole words, and CJK keywords match anywhere.
 """
 
@@ -29,8 +29,9 @@ def _side(ch: str, look: str) -> str:
 
 
 def as_pattern(words: Iterable[str]) -> str:
-    one = [_side(w[0], "(?<![A-Za-z0-9_])") + re.sub(r"([\\.\[\]{}()*+?^$|&~#-])", r"\\\1", w) + _side(w[-1], "(?![A-Za-z0-9_])") for w in words]
-    return "(?iu)(?:" + "|".join(sorted(one, key=len, reverse=True)) + ")"
+    """A pattern for lower-case text."""
+    one = [_side(w[0], "(?<![A-Za-z0-9_])") + re.sub(r"([\\.\[\]{}()*+?^$|&~#-])", r"\\\1", w) + _side(w[-1], "(?![A-Za-z0-9_])") for w in (w.lower() for w in words)]
+    return "(?:" + "|".join(sorted(one, key=len, reverse=True)) + ")"
 
 
 class Matcher:
@@ -41,15 +42,13 @@ class Matcher:
 
         self.automaton = ahocorasick.Automaton()
         for w in words:
-            self.automaton.add_word(w.lower(), len(w))
+            self.automaton.add_word(w.lower(), len(w.lower()))
         self.automaton.make_automaton()
 
     def first(self, s: str) -> str | None:
-        """The match that begins first, the longest of those; None if there is none."""
-        low = s.lower()
-        low = low if len(low) == len(s) else "".join(c.lower() if len(c.lower()) == 1 else c for c in s)
-        best = None
-        for end, n in self.automaton.iter(low):
+        """The match that begins first, the longest of those, in lower case; None if there is none."""
+        s, best = s.lower(), None
+        for end, n in self.automaton.iter(s):
             a, b = end - n + 1, end + 1
             left = a == 0 or s[a] not in _WORD or s[a - 1] not in _WORD
             right = b == len(s) or s[b - 1] not in _WORD or s[b] not in _WORD
@@ -65,7 +64,7 @@ def has_keyword(words: list[str]) -> Callable[[Column], Column]:
         return lambda c: F.lit(False)
     if len(words) <= NATIVE:
         pattern = as_pattern(words)
-        return lambda c: F.coalesce(c.rlike(pattern), F.lit(False))
+        return lambda c: F.coalesce(F.lower(c).rlike(pattern), F.lit(False))
 
     @F.pandas_udf("boolean")
     def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -73,4 +72,4 @@ def has_keyword(words: list[str]) -> Callable[[Column], Column]:
         for texts in batches:
             yield texts.map(lambda t: isinstance(t, str) and m.first(t) is not None).astype(bool)
 
-    return match
+    return lambda c: match(F.lower(c))

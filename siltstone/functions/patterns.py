@@ -18,14 +18,21 @@ EMAIL_MASK = "<EMAIL>"
 #: domain or localhost, perhaps a port and a path that ends at a closing bracket, white space or a CJK character.
 #: In the host part, the escapes of the original range stand for themselves: backslash, u, digits and the range 1-\.
 _HOST_CHARS = r"a-z\\u00a1-\\\\uffff0-9"
+#: Labels of a host: any, one whose first run is a single character, and the beginning of one that can be the last.
+#: The repeats are possessive, so that a host of any length needs no stack; what they give up could never match.
+_HOST_RUN = "[" + _HOST_CHARS + "]"
+_LABEL = f"{_HOST_RUN}++(?:-{_HOST_RUN}++)*+"
+_SHORT_LABELS = rf"(?:\.{_HOST_RUN}(?!{_HOST_RUN})(?:-{_HOST_RUN}++)*+)*+"
+_LAST = rf"{_SHORT_LABELS}\.{_HOST_RUN}{{2}}"
 URL = (
     r"(?iuU)(?:^|(?<![A-Za-z0-9/]))"
     r"(?:https?:?//|ftp://|www\d{0,3}\.)"
-    r"(?:\S+(?::\S*)?@)?"
+    r"(?:\S+@)?"
     r"(?:"
     r"(?!(?:10|127)(?:\.\d{1,3}){3})(?!(?:169\.254|192\.168)(?:\.\d{1,3}){2})(?!172\.(?:1[6-9]|2\d|3[0-1])(?:\.\d{1,3}){2})"
     r"(?:[1-9]\d?|1\d\d|2[01]\d|22[0-3])(?:\.(?:1?\d{1,2}|2[0-4]\d|25[0-5])){2}\.(?:[1-9]\d?|1\d\d|2[0-4]\d|25[0-4])"
-    r"|(?:(?:[" + _HOST_CHARS + r"]-?)*[" + _HOST_CHARS + r"]+)(?:\.(?:[" + _HOST_CHARS + r"]-?)*[" + _HOST_CHARS + r"]+)*\.[" + r"a-z\\u00a1-\\\\uffff" + r"]{2,}"
+    # labels as long as one follows that can be the last, then the first characters of that one
+    r"|" + _LABEL + r"(?:" + _SHORT_LABELS + r"\." + _LABEL + r"(?=" + _LAST + r"))*+" + _LAST + _HOST_RUN + r"*+"
     r"|localhost"
     r")"
     r"(?::\d{2,5})?"
@@ -44,7 +51,7 @@ NO_CONTENT = r"[a-zA-Z0-9零一二三四五六七八九十壹贰叁肆伍陆柒
 
 # --- general clean-text step (addresses and numbers in running text)
 PLAIN_URL = r"(?iU)(?:https?://|ftp://|www\d{0,3}\.)[^\s<>\"']+"
-PLAIN_EMAIL = r"(?iU)(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)+"
+PLAIN_EMAIL = r"(?iU)(?<![\w.+-])[\w.+-]++@[\w-]++(?:\.[\w-]++)++"
 PLAIN_PHONE = r"(?<![\w.])(?:\+?\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]?\d{3,4}[ .-]?\d{4}(?!\w)"
 
 # --- web lines

@@ -125,8 +125,8 @@ def clean_utterance(c: Column, repair=None, convert=None, script: str = P.CJK) -
 
 
 def ngrams(c: Column, n: int) -> Column:
-    """All substrings of `n` characters, in order; none if the text is shorter."""
-    return F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - (n - 1), F.lit(1))), lambda i: c.substr(i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    """All substrings of `n` characters, in order; none if the text is shorter.  One pass: each match looks ahead and takes one character."""
+    return F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))
 
 
 def text_hash(c: Column) -> Column:

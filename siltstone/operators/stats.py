@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,15 +20,27 @@ def document_frequency(texts: DataFrame, text: str = "text", n: int = 3, more_th
     return own.groupBy("trigram").agg(F.count(F.lit(1)).alias("n_texts")).filter(F.col("n_texts") > more_than)
 
 
+def _char_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each batch's characters with their counts, and the first text (by number) and place where they stand."""
+    for rows in batches:
+        rows = rows.sort_values("at", kind="stable")
+        points = np.frombuffer("".join(rows["t"]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        char, first, n = np.unique(points, return_index=True, return_counts=True)
+        begin = np.cumsum([0, *rows["t"].str.len()])
+        text = np.searchsorted(begin, first, side="right") - 1
+        yield pd.DataFrame({"char": [chr(c) for c in char], "n": n, "at": rows["at"].to_numpy()[text], "place": first - begin[text]})
+
+
 def char_vocabulary(texts: DataFrame, text: str = "text", order: str | None = None, least: int = 1, most: int = 10_000) -> DataFrame:
     """``char, id``: the `most` frequent characters, then the unknown and the padding mark.
 
     Ties go to the character seen first by `order` (a unique number of the text), or to the smaller character.
     The numbering window runs over at most `most` rows.
     """
-    each = texts.select(F.posexplode(F.filter(F.split(F.split(F.trim(text), "\t")[0], ""), lambda c: c != "")).alias("place", "char"), *([F.col(order).alias("at")] if order else []))
+    own = texts.select(F.split(F.trim(text), "\t")[0].alias("t"), (F.col(order).cast("long") if order else F.lit(0).cast("long")).alias("at")).filter("t <> ''")
+    each = own.mapInPandas(_char_counts, "char string, n long, at long, place long")
     seen = F.min(F.struct("at", "place")) if order else F.min("char")
-    top = each.groupBy("char").agg(F.count(F.lit(1)).alias("n"), seen.alias("seen")).filter(F.col("n") >= least).orderBy(F.desc("n"), "seen").limit(most)
+    top = each.groupBy("char").agg(F.sum("n").alias("n"), seen.alias("seen")).filter(F.col("n") >= least).orderBy(F.desc("n"), "seen").limit(most)
     ranked = top.select("char", (F.row_number().over(W.orderBy(F.desc("n"), "seen")) - 1).alias("id"))
     marks = ranked.agg(F.count(F.lit(1)).cast("int").alias("n")).select(F.explode(F.array(F.struct(F.lit(UNKNOWN).alias("char"), F.col("n").alias("id")), F.struct(F.lit(PADDING).alias("char"), (F.col("n") + 1).alias("id")))).alias("x")).select("x.*")
     return ranked.unionByName(marks)

@@ -1,28 +1,30 @@
 """Language identification with a bidirectional gated recurrent network over bytes.
 
-The network is trained here, in numpy, by backpropagation through time.  Two gated recurrent layers
-read the bytes of a word, one from each end; at every position a softmax over both states labels the
-byte.  A document's probabilities are the mean over the positions of all its words, so each byte of the
-whole text counts.  States start anew at each word; a word is therefore labelled once and looked up
-when it comes again, which changes no result.
+The network is trained here, in numpy, by backpropagation through time.  Two gated recurrent layers read the
+bytes of a text, one from each end; at every position (letters, digits, blanks and all else) a softmax over
+both states labels the byte.  A document's probabilities are the mean over all positions of its whole text.
 
-Training takes a bounded sample: at most `docs_per_lang` labelled documents a language (those with the
-smallest hash of their id) and, of these, at most `words_per_lang` words.  Everything else covers all
-rows and whole texts.
+States run over words and lines.  So that one long text is read in bounded memory and many rows at once, texts are
+read in windows of WINDOW bytes; in each, both layers begin CONTEXT bytes further out, and only the window's own
+positions count.  A text of one window is read as a whole.
+
+Training takes a bounded sample: at most `docs_per_lang` labelled documents a language (those with the smallest hash
+of their id) and, of each, at most `pieces` pieces of PIECE bytes, from places all over the text.  Everything else
+covers all rows and whole texts.
 
 Defined results: a null text, an empty one and one without a letter are ``und`` with score 0; so are all
-rows if there is nothing to learn from.  A null language is not learned.  Rows with the same id are
-separate rows; they go to the same side of the split.  An empty table gives no rows.  Other columns are
-not looked at.
+rows if there is nothing to learn from.  A null language is not learned, nor is a row with a null `trained`.  Rows
+with the same id are separate rows; they go to the same side of the split.  An empty table gives no rows.  Other
+columns are not looked at.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,23 +33,18 @@ from .common import doc_id
 
 UNKNOWN = "und"
 
-#: Longer runs of letters are labelled in pieces of so many bytes.
-LONGEST = 32
+#: Bytes that are labelled together, and how much further out the states begin.
+WINDOW, CONTEXT = 512, 32
 
-#: Distinct words that a task keeps the labels of, before it starts over.
-CACHE = 400_000
+#: Bytes of a training piece.
+PIECE = 64
 
-_KEEP_LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
+#: Positions times labels that are held at once.
+_ROOM = 1 << 22
 
 
-def words(text: str | None) -> list[bytes]:
-    """Lower-cased runs of letters (and of what is not ASCII), in pieces of at most LONGEST bytes."""
-    if not text:
-        return []
-    out = text.lower().encode("utf-8", "replace").translate(_KEEP_LETTERS).split()
-    if any(len(w) > LONGEST for w in out):
-        out = [w[i : i + LONGEST] for w in out for i in range(0, len(w), LONGEST)]
-    return out
+def normal(text: str | None) -> bytes:
+    return (text or "").lower().encode("utf-8", "replace")
 
 
 def has_letter(text: str | None) -> bool:
@@ -59,58 +56,71 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class BiGRU:
-    """Parameters by name; a layer is ``x`` (input by byte: update, reset and candidate), ``u`` (state to update and
-    reset) and ``c`` (state to candidate)."""
+    """Parameters by name; a layer is ``x`` (input by byte: update, reset and candidate) and ``u`` (state to the same)."""
 
-    def __init__(self, labels: list[str], hidden: int = 16, seed: int = 0) -> None:
+    def __init__(self, labels: list[str], hidden: int = 8, seed: int = 0) -> None:
         rng = np.random.default_rng(seed)
-        self.labels, self.hidden = labels, hidden
+        self.labels, self.hidden, self.floor = labels, hidden, 0.0
         self.p = {"out": rng.normal(0, 0.3, (2 * hidden, len(labels))), "bias": np.zeros(len(labels))}
         for d in "fb":
-            self.p |= {f"x{d}": rng.normal(0, 0.3, (256, 3 * hidden)), f"u{d}": rng.normal(0, 0.3, (hidden, 2 * hidden)), f"c{d}": rng.normal(0, 0.3, (hidden, hidden))}
+            self.p |= {f"x{d}": rng.normal(0, 0.3, (256, 3 * hidden)), f"u{d}": rng.normal(0, 0.3, (hidden, 3 * hidden))}
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
-    def _read(self, x: np.ndarray, mask: np.ndarray, d: str, keep: list | None = None) -> np.ndarray:
-        """States at every position of the byte rows `x`; `keep` gets what backpropagation needs."""
-        h, k = np.zeros((len(x), self.hidden), np.float32), self.hidden
-        out = np.empty((x.shape[1], len(x), k), np.float32)
+    def _read(self, x: np.ndarray, mask: np.ndarray | None, d: str, keep: list | None = None) -> np.ndarray:
+        """States at every position of the byte rows `x` (position x row x state); `keep` gets what backpropagation needs."""
+        k, dtype = self.hidden, self.p["out"].dtype
+        into, u = self.p[f"x{d}"], self.p[f"u{d}"]
+        h = np.zeros((len(x), k), dtype)
+        out = np.empty((x.shape[1], len(x), k), dtype)
         for t in range(x.shape[1]) if d == "f" else reversed(range(x.shape[1])):
-            a = self.p[f"x{d}"][x[:, t]]
-            g = _sigmoid(a[:, : 2 * k] + h @ self.p[f"u{d}"])
-            z, r = g[:, :k], g[:, k:]
-            s = h @ self.p[f"c{d}"]
+            a, s = into[x[:, t]], h @ u
+            g = _sigmoid(a[:, : 2 * k] + s[:, : 2 * k])
+            z, r, s = g[:, :k], g[:, k:], s[:, 2 * k :]
             n = np.tanh(a[:, 2 * k :] + r * s)
-            m = mask[:, t, None]
-            new = np.where(m, n + z * (h - n), h)
+            new = n + z * (h - n)
+            m = None
+            if mask is not None:
+                m = mask[:, t, None]
+                new = np.where(m, new, h)
             if keep is not None:
                 keep.append((t, h, z, r, s, n, m))
             h = out[t] = new
         return out
 
-    def label(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        """Probabilities of each label at each position: rows x positions x labels."""
-        both = np.concatenate([self._read(x, mask, "f"), self._read(x, mask, "b")], axis=2)
-        e = both @ self.p["out"] + self.p["bias"]
-        e = np.exp(e - e.max(axis=2, keepdims=True))
-        return (e / e.sum(axis=2, keepdims=True)).transpose(1, 0, 2)
-
-    def word_sums(self, own: list[bytes]) -> np.ndarray:
-        """For each word the sum over its positions of the label probabilities."""
-        out = np.zeros((len(own), len(self.labels)), np.float32)
-        size = np.array([len(w) for w in own])
-        for n in np.unique(size):
-            at = np.nonzero(size == n)[0]
-            for i in range(0, len(at), 4096):
-                part = at[i : i + 4096]
-                x = np.frombuffer(b"".join(own[j] for j in part), dtype=np.uint8).reshape(len(part), n)
-                out[part] = self.label(x, np.ones(x.shape, bool)).sum(axis=1)
-        return out
+    def label(self, x: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
+        """Probabilities of each label at each position: position x row x label."""
+        k = self.hidden
+        e = self._read(x, None, "f") @ self.p["out"][:k]  # what follows a row's end does not reach back
+        e += self._read(x, mask, "b") @ self.p["out"][k:] + self.p["bias"]
+        np.exp(e - e.max(axis=2, keepdims=True), out=e)
+        return e / e.sum(axis=2, keepdims=True)
+
+    def means(self, texts: list[bytes]) -> np.ndarray:
+        """For each text the mean over all its positions of the label probabilities (zero for an empty one)."""
+        sums = np.zeros((len(texts), len(self.labels)))
+        rows = []  # text, where the row begins and ends, where its own positions begin and end in it
+        for i, t in enumerate(texts):
+            for at in range(0, len(t), WINDOW):
+                lo, end = max(0, at - CONTEXT), min(len(t), at + WINDOW)
+                rows.append((min(len(t), end + CONTEXT) - lo, i, lo, at - lo, end - lo))
+        rows.sort()
+        most = max(1, _ROOM // ((WINDOW + 2 * CONTEXT) * max(len(self.labels), self.hidden)))
+        for j in range(0, len(rows), most):
+            part = rows[j : j + most]
+            size, i, lo, own, end = (np.array(c) for c in zip(*part))
+            wide = int(size[-1])
+            x = np.frombuffer(b"".join(texts[r[1]][r[2] : r[2] + r[0]].ljust(wide, b"\0") for r in part), np.uint8).reshape(len(part), wide)
+            at = np.arange(wide)[:, None]
+            q = self.label(np.ascontiguousarray(x), None if size[0] == wide else (at < size).T)
+            if own.any() or (end < wide).any():
+                q *= ((at >= own) & (at < end))[:, :, None]
+            np.add.at(sums, i, q.sum(axis=0))
+        return sums / np.maximum(1, np.array([len(t) for t in texts]).reshape(-1, 1))
 
     def loss(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean cross entropy over all positions, and its gradients by backpropagation through time."""
         kept: dict[str, list] = {"f": [], "b": []}
-        states = [self._read(x, mask, d, kept[d]) for d in "fb"]
-        both = np.concatenate(states, axis=2)
+        both = np.concatenate([self._read(x, mask, d, kept[d]) for d in "fb"], axis=2)
         e = both @ self.p["out"] + self.p["bias"]
         e -= e.max(axis=2, keepdims=True)
         q = np.exp(e)
@@ -118,35 +128,31 @@ class BiGRU:
         m, n = mask.T, mask.sum()
         loss = -float((np.log(q[:, np.arange(len(y)), y] + 1e-12) * m).sum() / n)
         q[:, np.arange(len(y)), y] -= 1
-        q *= (m / n)[:, :, None].astype(np.float32)
+        q *= (m / n)[:, :, None].astype(q.dtype)
         g = {"out": np.einsum("tbh,tbl->hl", both, q), "bias": q.sum(axis=(0, 1))}
-        back = q @ self.p["out"].T
-        k = self.hidden
+        back, k = q @ self.p["out"].T, self.hidden
         for i, d in enumerate("fb"):
-            u, c = self.p[f"u{d}"], self.p[f"c{d}"]
-            gx, gu, gc = np.zeros_like(self.p[f"x{d}"]), np.zeros_like(u), np.zeros_like(c)
-            dh = np.zeros((len(x), k), np.float32)
+            u = self.p[f"u{d}"]
+            gx, gu = np.zeros_like(self.p[f"x{d}"]), np.zeros_like(u)
+            dh = np.zeros((len(x), k), q.dtype)
             for t, h, z, r, s, cand, on in reversed(kept[d]):
                 dh = dh + back[t][:, i * k : (i + 1) * k]
                 dn = np.where(on, dh * (1 - z) * (1 - cand * cand), 0)
                 dz = np.where(on, dh * (h - cand) * z * (1 - z), 0)
                 dr = dn * s * r * (1 - r)
-                gates = np.concatenate([dz, dr], axis=1)
-                np.add.at(gx, x[:, t], np.concatenate([gates, dn], axis=1))
-                gu += h.T @ gates
-                gc += h.T @ (dn * r)
-                dh = np.where(on, dh * z, dh) + gates @ u.T + (dn * r) @ c.T
-            g |= {f"x{d}": gx, f"u{d}": gu, f"c{d}": gc}
+                np.add.at(gx, x[:, t], np.concatenate([dz, dr, dn], axis=1))
+                of_state = np.concatenate([dz, dr, dn * r], axis=1)
+                gu += h.T @ of_state
+                dh = np.where(on, dh * z, dh) + of_state @ u.T
+            g |= {f"x{d}": gx, f"u{d}": gu}
         return loss, g
 
-    def fit(self, own: list[bytes], y: np.ndarray, weight: np.ndarray, steps: int = 350, batch: int = 256, rate: float = 0.01, seed: int = 0) -> "BiGRU":
+    def fit(self, own: list[bytes], y: np.ndarray, weight: np.ndarray, steps: int = 300, batch: int = 128, rate: float = 0.015, seed: int = 0) -> "BiGRU":
         """Adam on minibatches drawn by weight."""
         rng = np.random.default_rng(seed)
         first, second = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
         size = np.array([len(w) for w in own])
-        x = np.zeros((len(own), LONGEST), np.uint8)
-        for i, w in enumerate(own):
-            x[i, : len(w)] = np.frombuffer(w, np.uint8)
+        x = np.frombuffer(b"".join(w.ljust(PIECE, b"\0") for w in own), np.uint8).reshape(len(own), PIECE)
         for step in range(1, steps + 1):
             at = rng.choice(len(own), batch, p=weight)
             longest = size[at].max()
@@ -159,57 +165,74 @@ class BiGRU:
                 self.p[k] -= (now * first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
         return self
 
+    def calibrate(self, held: list[bytes], y: np.ndarray, low: float = 0.01) -> "BiGRU":
+        """Set `floor`: halfway from chance to the score that all but a share `low` of the rightly labelled pieces reach.
+
+        Below it a text of at least one piece's length is in no learned language.
+        """
+        q = self.means(held) if len(held) else np.zeros((0, len(self.labels)))
+        right = q.max(axis=1, initial=0)[q.argmax(axis=1) == y] if len(held) else np.zeros(0)
+        chance = 1 / len(self.labels)
+        self.floor = chance + 0.5 * (float(np.quantile(right, low)) - chance) if len(right) else 0.0
+        return self
+
+
+def pieces_of(raw: bytes, most: int) -> list[bytes]:
+    """At most `most` pieces of PIECE bytes: all that lie side by side, or as many from hashed places."""
+    n = max(1, -(-len(raw) // PIECE))
+    if n <= most:
+        return [raw[i * PIECE : (i + 1) * PIECE] for i in range(n) if raw]
+    at = {xxhash.xxh64_intdigest(raw[:PIECE], i) % (len(raw) - PIECE + 1) for i in range(most)}
+    return [raw[i : i + PIECE] for i in sorted(at)]
+
 
-def train(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = 400, words_per_lang: int = 8000, steps: int = 350, seed: int = 0) -> BiGRU | None:
-    """Fit the network on a bounded sample of the rows where `trained` is true; None if there is nothing to learn from."""
-    own = docs.select(doc_id(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), trained.alias("trained")).filter("trained and lang is not null")
-    draw = W.partitionBy("lang").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")  # cut to docs_per_lang before the shuffle
-    ids = own.withColumn("rank", F.row_number().over(draw)).filter(F.col("rank") <= docs_per_lang).select("doc_id", "lang").distinct()
-    texts = docs.select(doc_id(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).join(ids, ["doc_id", "lang"])
+def train(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = 400, pieces: int = 12, steps: int = 300, seed: int = 0) -> BiGRU | None:
+    """Fit the network on a bounded sample of the rows where `trained` is true; None if there is nothing to learn from.
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Every fifth document of the sample is kept back for the floor of the scores.
+    """
+    draw = F.xxhash64(F.lit(seed), doc_id(id_col))
+    own = docs.select(F.col(lang_col).cast("string").alias("lang"), draw.alias("draw"), F.col(text_col).alias("text"), trained.alias("trained")).filter("trained and lang is not null")
+    # languages are few; a table of them tells how small a hash must be, so that little more than the sample is shuffled
+    share = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select(F.col("lang").alias("of"), F.least(F.lit(1.0), 2.0 * docs_per_lang / F.col("n")).alias("share"))
+    some = own.join(share, F.col("lang") == F.col("of")).filter(F.pmod("draw", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    by = W.partitionBy("lang").orderBy("draw", F.xxhash64("text"))
+    some = some.select("lang", "draw", "text", F.row_number().over(by).alias("rank")).filter(F.col("rank") <= docs_per_lang).select("lang", "text", "rank")
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for lang, text in zip(pdf["lang"], pdf["text"]):
-                n = Counter(words(text if isinstance(text, str) else None))
-                yield pd.DataFrame({"lang": lang, "word": list(n), "n": list(n.values())})
-
-    counts = texts.select("lang", "text").mapInPandas(count, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    often = W.partitionBy("lang").orderBy(F.desc("n"), F.xxhash64("word"), "word")
-    few = counts.withColumn("rank", F.row_number().over(often)).filter(F.col("rank") <= words_per_lang).drop("rank").toPandas()
-    if not len(few):
+            rows = [(lang, rank % 5 == 0, p) for lang, rank, text in zip(pdf["lang"], pdf["rank"].tolist(), pdf["text"]) for p in pieces_of(normal(text if isinstance(text, str) else None), pieces)]
+            yield pd.DataFrame(rows, columns=["lang", "held", "piece"])
+
+    few = some.mapInPandas(cut, "lang string, held boolean, piece binary").toPandas()  # docs_per_lang * pieces * PIECE bytes a language at most
+    fit = few[~few["held"].astype(bool)]
+    if not len(fit):
         return None
-    few["word"] = [bytes(w) for w in few["word"]]
-    few = few.sort_values(["lang", "word"], ignore_index=True)
-    labels = sorted(few["lang"].unique())
-    y = few["lang"].map({k: i for i, k in enumerate(labels)}).to_numpy()
-    weight = few["n"].to_numpy(dtype=float) ** 0.75
-    weight /= np.bincount(y, weights=weight)[y] * len(labels)
-    return BiGRU(labels, seed=seed).fit(list(few["word"]), y, weight, steps=steps, seed=seed)
+    labels = sorted(fit["lang"].unique())
+    held = few[few["held"].astype(bool) & few["lang"].isin(labels) & (few["piece"].map(len) == PIECE)]
+    number = {k: i for i, k in enumerate(labels)}
+    # in one order, so that results do not hang on that of the rows
+    fit = fit.assign(piece=[bytes(p) for p in fit["piece"]]).sort_values(["lang", "piece"], ignore_index=True)
+    y = fit["lang"].map(number).to_numpy()
+    weight = 1 / np.bincount(y)[y] / len(labels)
+    net = BiGRU(labels, seed=seed).fit(list(fit["piece"]), y, weight, steps=steps, seed=seed)
+    return net.calibrate([bytes(p) for p in held["piece"]], held["lang"].map(number).to_numpy())
 
 
 def _label_texts(net: BiGRU, batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    seen: dict[bytes, int] = {}
-    sums = np.zeros((0, len(net.labels)), np.float32)
     for batch in batches:
-        if len(seen) > CACHE:
-            seen, sums = {}, sums[:0]
-        langs, scores = [], []
-        for i in range(0, len(batch), 500):
-            texts = [t if isinstance(t, str) else None for t in batch.iloc[i : i + 500]]
-            own = [words(t) for t in texts]
-            new = list({w for ws in own for w in ws if w not in seen})
-            if new:
-                seen.update(zip(new, range(len(seen), len(seen) + len(new))))
-                sums = np.concatenate([sums, net.word_sums(new)])
-            for text, ws in zip(texts, own):
-                if not ws or not has_letter(text):
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                total = sums[np.fromiter(map(seen.__getitem__, ws), dtype=np.int64, count=len(ws))].sum(axis=0, dtype=np.float64)
-                total /= total.sum()
-                langs.append(net.labels[int(total.argmax())])
-                scores.append(float(total.max()))
+        langs, scores = [UNKNOWN] * len(batch), np.zeros(len(batch))
+        held: list[tuple[int, bytes]] = []
+        size = 0
+        for i, t in enumerate(batch):
+            if isinstance(t, str) and has_letter(t):
+                held.append((i, normal(t)))
+                size += len(held[-1][1])
+            if held and (size >= 1 << 20 or i == len(batch) - 1):
+                q = net.means([raw for _, raw in held])
+                for (k, _), best, score in zip(held, q.argmax(axis=1).tolist(), q.max(axis=1).tolist()):
+                    langs[k], scores[k] = net.labels[best], min(1.0, score)
+                held, size = [], 0
         yield pd.DataFrame({"lang_pred": langs, "score": scores})
 
 
@@ -223,6 +246,12 @@ def predictor(net: BiGRU):
     return label
 
 
+def in_learned_language(net: BiGRU, text: Column) -> Column:
+    """False for texts without a letter, and for those of a piece's length at least whose score is below the floor."""
+    guess = predictor(net)(F.coalesce(text, F.lit("")))
+    return (guess["lang_pred"] != UNKNOWN) & ((guess["score"] >= net.floor) | (F.octet_length(text) < PIECE))
+
+
 def predict(docs: DataFrame, net: BiGRU | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score``."""
     rows = docs.select(doc_id(id_col).alias("doc_id"), F.col(text_col).alias("text"))

@@ -102,6 +102,46 @@ def test_language(docs_of, edge):
     assert L.identify(docs_of(rows).limit(0), F.lit(True)).count() == 0
 
 
+def test_language_of_null_ids(docs_of):
+    from siltstone.llm import queries as Q
+
+    rows = [(i, " ".join(WORDS["en" if i % 2 else "de"]), "en" if i % 2 else "de", "s") for i in range(30)] + [(None, "the water", "xx", "s")]
+    df = docs_of(rows)
+    got = L.identify(df, Q._remainder(3) != 1, steps=40).collect()
+    assert {r["lang_pred"] for r in got} <= {"en", "de"} and [r["doc_id"] for r in got].count(None) == 1
+    held = df.select("doc_id", F.coalesce(Q._remainder(3) == 1, F.lit(True)).alias("h")).filter("doc_id is null").first()
+    assert held["h"] is True
+
+
+def test_states_run_over_the_bytes_of_a_text():
+    """Every position counts, from states that begin CONTEXT bytes outside its window at the latest."""
+    net = L.BiGRU(["a", "b", "c"], hidden=5, seed=3)
+
+    def read(raw, d):
+        h, out = np.zeros(5), []
+        for c in raw if d == "f" else raw[::-1]:
+            a, s = net.p[f"x{d}"][c], h @ net.p[f"u{d}"]
+            z, r = (1 / (1 + np.exp(-(a[i : i + 5] + s[i : i + 5]))) for i in (0, 5))
+            n = np.tanh(a[10:] + r * s[10:])
+            h = n + z * (h - n)
+            out.append(h)
+        return np.array(out if d == "f" else out[::-1])
+
+    def mean(raw):
+        total = np.zeros(3)
+        for at in range(0, len(raw), L.WINDOW):
+            lo = max(0, at - L.CONTEXT)
+            part = raw[lo : at + L.WINDOW + L.CONTEXT]
+            e = np.concatenate([read(part, "f"), read(part, "b")], axis=1) @ net.p["out"] + net.p["bias"]
+            q = np.exp(e) / np.exp(e).sum(axis=1, keepdims=True)
+            total += q[at - lo : at - lo + L.WINDOW].sum(axis=0)
+        return total / max(1, len(raw))
+
+    rng = np.random.default_rng(1)
+    texts = [bytes(rng.integers(32, 250, n).astype(np.uint8)) for n in (0, 1, 7, 300, L.WINDOW, L.WINDOW + 1, 1300, 5)]
+    assert np.allclose(net.means(texts), [mean(t) for t in texts], atol=1e-5)
+
+
 def test_backpropagation_through_time():
     net = L.BiGRU(["a", "b"], hidden=3, seed=1)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}

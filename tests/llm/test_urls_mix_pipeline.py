@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import mixing
 from siltstone.llm.queries import URL_RULES
+from siltstone.llm.simhash import simhash_components
 from siltstone.llm.url_filter import judge_urls, template_purity, templates
 
 
@@ -103,7 +104,8 @@ def test_pipeline(spark, tmp_path):
     rng = random.Random(5)
     en = [" ".join(rng.choice("the and thing over water house with from shed wind".split()) + rng.choice("abcdefgh") * rng.randint(0, 4) for _ in range(60)) for _ in range(40)]
     passage = " ".join(f"bench{i}" for i in range(20))
-    texts = [*en, en[0], en[1] + "  ", en[2] + " .", "123 ---", None, "", en[3] + " " + passage, *en[:0]]
+    long_ = " ".join("".join(rng.choice("the and house with water".split())) + rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(2000))
+    texts = [*en, en[0], en[1] + "  ", en[2] + " .", "123 ---", None, "", en[3] + " " + passage, long_[:5000] + " " + passage[: len(" ".join(passage.split()[:13]))] + " " + long_[5000:]]
     rows = [(i, t, "en", None if i % 3 == 2 else f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)]
     docs = spark.createDataFrame([*rows, rows[5]], "doc_id long, text string, lang string, source string, n_chars long")
     docs = docs.withColumns({c: F.lit("clash") for c in ("digest", "_digest", "kept_id", "bad_id", "mix_id", "copies", "taken", "size", "salt", "fp")})
@@ -121,8 +123,12 @@ def test_pipeline(spark, tmp_path):
     assert kept[0] == ids - {43, 44, 45}
     # of equal texts the longest stays: 41 has two blanks more than 1
     assert kept[1] == kept[0] - {40, 1}
-    assert kept[2] <= kept[1] and 41 in kept[2] and len(kept[2] & set(range(40))) >= 36
-    assert kept[3] == kept[2] - {46}
+    groups = {}
+    for r in simhash_components(spark.read.parquet(str(tmp_path / "1"))).collect():
+        groups.setdefault(r["component_id"], set()).add(r["doc_id"])
+    assert kept[2] <= kept[1] and all(len(kept[2] & g) == 1 for g in groups.values())
+    assert 46 in kept[2] and 47 in kept[2]
+    assert kept[3] == kept[2] - {46, 47}  # 47: a long text with one window of a benchmark passage
     mixed = C.run(spark, str(tmp_path))
     assert mixed.columns == [c for c in docs.columns if c not in ("copies", "taken")] + ["copies", "taken"]
     mixed = mixed.collect()

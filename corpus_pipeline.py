@@ -1,9 +1,9 @@
 """From raw documents to a training mix.  Each stage takes what its predecessor kept.
 
-Defined results: null and empty texts have no letter and go in the first stage.  Rows with the same id are one
-document if their texts are equal, else separate ones that near-dedup, decontamination and the mix treat alike
-where they agree in what the stage looks at.  An empty table gives no rows.  Extra columns are kept, whatever
-their names; only ``copies`` and ``taken`` give way to those of the mix.
+Defined results: null and empty texts have no letter and go in the first stage.  Rows with one id and one text are one
+document; rows that share an id, or have none, and differ in their text are different documents, which stages tell
+apart by a hash of id and text.  An empty table gives no rows.  Extra columns are kept, whatever their names; only
+``copies`` and ``taken`` give way to those of the mix.
 """
 
 from __future__ import annotations
@@ -14,21 +14,20 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import free_name, materialize
 from siltstone.llm.decontaminate import decontaminate
 from siltstone.llm.exact_dedup import exact_dedup, normalised, sha256
-from siltstone.llm.language_id import UNKNOWN, predictor, train
+from siltstone.llm.language_id import in_learned_language, train
 from siltstone.llm.mixing import mix, n_words
 from siltstone.llm.simhash import simhash_components
 
-#: Documents whose best language has a smaller mean probability than this are in none that was learned.
-LEAST_SCORE = 0.3
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those in no language that was learned."""
     net = train(docs, F.lit(True))
-    if net is None:
-        return docs
-    guess = predictor(net)(F.coalesce(F.col("text"), F.lit("")))
-    return docs.filter((guess["lang_pred"] != UNKNOWN) & (guess["score"] >= LEAST_SCORE))
+    return docs if net is None else docs.filter(in_learned_language(net, F.col("text")))
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a number that stands for id and text, and its column's name."""
+    key = free_name(docs, "row_key")
+    return docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), sha256(F.coalesce(F.col("text"), F.lit(""))))), key
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,15 +40,17 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each component."""
-    kept = simhash_components(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
+    """Keeps one document of each component: that with the smallest hash of id and text."""
+    rows, key = _keyed(docs)
+    kept = simhash_components(rows, id_col=key).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_key")).distinct()
+    return rows.join(kept, rows[key] == kept["kept_key"], "left_semi").drop(key)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of which at least a twentieth of the words are in benchmark passages."""
-    bad = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["bad_id"]), "left_anti")
+    """Drops documents in which a window of a benchmark item occurs, however long they are."""
+    rows, key = _keyed(docs)
+    bad = decontaminate(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=key).filter("n_hit > 0").select(F.col("doc_id").alias("bad_key")).distinct()
+    return rows.join(bad, rows[key] == bad["bad_key"], "left_anti").drop(key)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

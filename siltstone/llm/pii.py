@@ -5,12 +5,16 @@
    identity numbers, secrets.  Spans of different generators may overlap.
 2. Every candidate gets format features (digits, separators, check sums, ...) and context features (cue
    words before it, what it touches).
-3. Boosted trees score the candidates.  They are fitted on half of a bounded sample: `sample` candidates in
-   all, shared among the kinds so that rare ones come whole, and of each kind those with the smallest
-   hash.  Its labels are each format's own validity rules.  Trees become CASE expressions.
-4. A threshold for each kind is calibrated on the other half of the kind's sample: the lowest with at least
-   `precision`.  A kind for which there is none (or no such half) goes by its format's own rules.  Base spans that pass their own check always stay; others stay if they reach the threshold
-   and overlap no base span and no accepted one before them.
+3. Boosted trees score the candidates; they become CASE expressions.  What they learn from is planted: true spans
+   of each kind and look-alikes (order and part numbers, hardware addresses, placeholders, numbers whose check
+   digit is wrong), each behind a phrase of a template and between the left and right contexts of real
+   candidates.  At most `sample` contexts are drawn, those with the smallest hash of what they are.
+4. A threshold for each kind is calibrated on the templates that the trees have not seen: the lowest with at least
+   `precision`.  A kind for which there is none goes by its format's own rules.  Base spans that pass their own
+   check always stay; others stay if they reach the threshold and overlap no base span and no accepted one before
+   them.
+
+So a document's spans depend on the table only through that sample of contexts, and not on how rows are dealt out.
 
 Patterns are written so that they take linear time: quantifiers are possessive and a match cannot start
 in the middle of a run of its own characters, unless the last match ended there.
@@ -61,8 +65,75 @@ GENERATORS = (
     Generator("secret", "secret", r"(?<![A-Za-z])(?:password|passwd|token|secret|api_?key)\x20{0,2}[=:]\x20{0,2}[\x22']?[A-Za-z0-9+/_.-]{6,256}+[\x22']?", r"(?:password|passwd|token|secret|api_?key)\x20{0,2}[=:]"),
 )
 
-#: Cue words, in the texts' own letters, that a candidate's left context may hold.
-CUES = {"phone": "tel|phone|call|fax|mobil", "card": "card|visa|karte|carte|tarjeta|iban", "email": "mail|contact|write", "ip": "ip|host|addr|server", "ssn": "ssn|social"}
+#: Cue words that a candidate's left context may hold; `other` are those of numbers that are nobody's.
+CUES = {
+    "phone": "tel|phone|call|fax|mobil|numero",
+    "card": "card|visa|karte|carte|tarjeta|iban",
+    "email": "mail|contact|write|kontakt",
+    "ip": "ip|host|addr|server",
+    "ssn": "ssn|social",
+    "other": "order|invoice|serial|part|version|item|track|isbn|model|total|mac|finger|batch|article|rechnung|bestell|facture|commande|pedido|factura|sku|lot",
+}
+
+#: Characters before a candidate in which a cue counts as near.
+NEAR = 16
+
+#: Phrases before planted spans (true) and look-alikes (false) of each generator.  Every third one is kept
+#: for calibration.
+TEMPLATES = {
+    ("local_phone", True): ("call", "tel.", "my phone:", "fax", "mobile", "Telefon", "llame al numero", "tel:", ""),
+    ("local_phone", False): ("order", "part no.", "serial", "item", "invoice", "track", "Rechnung", "facture", "pedido", "sku"),
+    ("card", True): ("card", "visa", "my card number", "carte", "Karte", "tarjeta", "charge card", ""),
+    ("card", False): ("order", "tracking", "invoice", "serial", "Bestellung", "commande", "lot", "batch", "model"),
+    ("ssn", True): ("ssn", "social security", "her ssn is", "my social:", "ssn:", ""),
+    ("ssn", False): ("part", "item", "model", "serial", "article", "lot", "order", "batch", "sku"),
+    ("secret", True): ("", "set", "the", "my", "use", "export"),
+    ("secret", False): ("", "set", "the", "my", "use", "export"),
+    ("spelt_email", True): ("mail", "write to", "contact", "", "Kontakt", "e-mail:"),
+    ("ipv6", True): ("ip", "host", "server", "", "addr", "from"),
+    ("ipv6", False): ("mac", "fingerprint", "serial", "mac:", "finger", "model"),
+    ("ip", False): ("version", "", "item", "order", "part", "model"),
+    ("phone", False): ("order", "", "item", "version", "total", "part"),
+}
+
+
+def _planted_span(name: str, true: bool, rng: np.random.Generator) -> str:
+    """A span of a generator's form.  False ones are look-alikes by their context, by a wrong check digit or by being a placeholder."""
+    d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    word = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+    if name == "local_phone":
+        a, b, c = str(rng.integers(201, 990)), d(3), d(4)
+        return [f"{a}-{b}-{c}", f"({a}) {b}-{c}", f"{a} {b} {c}", f"1 {a}.{b}.{c}"][rng.integers(0, 2 if true else 4)] if true or rng.random() < 0.7 else f"000-{b}-{c}"
+    if name == "card":
+        n = int(rng.integers(13, 16))
+        raw = str(rng.integers(3, 7)) + d(n - 2)
+        check = sum(sum(divmod(int(x) * (2 - i % 2), 10)) for i, x in enumerate(reversed(raw)))
+        return raw + str((-check + (0 if true or rng.random() < 0.5 else int(rng.integers(1, 10)))) % 10)
+    if name == "ssn":
+        return f"{rng.integers(1, 666):03}-{rng.integers(1, 100):02}-{rng.integers(1, 10000):04}" if true or rng.random() < 0.5 else f"000-{d(2)}-{d(4)}"
+    if name == "secret":
+        value = "".join(rng.choice(list("0123456789abcdefABCDEF"), rng.integers(16, 41))) if true else word(int(rng.integers(6, 12)))
+        return f"{rng.choice(['token', 'password', 'secret', 'api_key'])}{rng.choice([' = ', '=', ': '])}" + (f'"{value}"' if rng.random() < 0.5 else value)
+    if name == "spelt_email":
+        return f"{word(5)} [at] {word(7)} [dot] {rng.choice(['com', 'org', 'net'])}"
+    if name == "ipv6":
+        return ":".join(f"{x:04x}" if true else f"{x % 256:02x}" for x in rng.integers(0, 65536, 8))
+    if name == "ip":
+        return f"{rng.integers(256, 999)}.{rng.integers(0, 99)}.{rng.integers(0, 99)}.{rng.integers(0, 99)}"
+    return "+" + d(int(rng.integers(3, 8)))
+
+
+def planted(contexts: list[tuple[str, str]], each: int = 40, seed: int = 0) -> list[tuple[str, str, str, str, bool, bool]]:
+    """``name, match, left, right``, whether it is true, and whether it is kept for calibration: `each` rows a template."""
+    rng, out = np.random.default_rng(seed), []
+    contexts = contexts or [("", "")]
+    for (name, true), phrases in TEMPLATES.items():
+        for i, phrase in enumerate(phrases):
+            for _ in range(each):
+                left, right = contexts[rng.integers(0, len(contexts))]
+                match = _planted_span(name, true, rng)
+                out.append((name, match, f"{left.rstrip('0123456789+')} {phrase} "[-CONTEXT:], f" {right}"[:CONTEXT], true, i % 3 == 2))
+    return out
 
 
 def _hinted(text: Column, hint: str) -> Column:
@@ -107,20 +178,17 @@ def base_valid(name: Column, match: Column) -> Column:
     )
 
 
-def _silver(name: Column, match: Column) -> Column:
-    """What a format's own rules say of a candidate: the labels that the trees learn from."""
+def _by_format(name: Column, match: Column) -> Column:
+    """What a format's own rules say of a candidate."""
     d = _digits(match)
     n = F.length(d)
-    return (
-        F.coalesce(
-            F.when(name == "card", n.between(13, 19) & (n <= 19) & F.when(n <= 19, luhn(d)).otherwise(F.lit(False)) & match.rlike("^[3-6]")),
-            base_valid(name, match),
-            F.when(name == "ssn", ~match.rlike("^(?:000|666|9)") & ~match.rlike("-00-") & ~match.rlike("0000$")),
-            F.when(name == "secret", match.rlike(r"[=:].*[0-9]") & match.rlike(r"[=:].*[A-Za-z]") & (F.length(match) >= 14)),
-            F.when(name == "local_phone", n.between(10, 13) & ~match.rlike(r"^[01]{3}")),
-            F.lit(True),
-        )
-        .cast("double")
+    return F.coalesce(
+        F.when(name == "card", n.between(13, 19) & F.when(n <= 19, luhn(d)).otherwise(F.lit(False)) & match.rlike("^[3-6]")),
+        base_valid(name, match),
+        F.when(name == "ssn", ~match.rlike("^(?:000|666|9)") & ~match.rlike("-00-") & ~match.rlike("0000$")),
+        F.when(name == "secret", match.rlike(r"[=:].*[0-9]") & match.rlike(r"[=:].*[A-Za-z]") & (F.length(match) >= 14)),
+        F.when(name == "local_phone", n.between(10, 13) & ~match.rlike(r"^[01]{3}")),
+        F.lit(True),
     )
 
 
@@ -137,11 +205,13 @@ def _features(c: DataFrame) -> dict[str, Column]:
         "luhn": F.when(n.between(12, 19), luhn(d)).otherwise(F.lit(False)),
         "octets": F.when(F.col("name") == "ip", _octets(m)).otherwise(F.lit(False)),
         "first_digit": F.coalesce(F.substring(d, 1, 1).try_cast("int"), F.lit(-1)),
+        "format": _by_format(F.col("name"), m),
         "touches_left": F.col("left").rlike("[A-Za-z0-9]$"),
         "touches_right": F.col("right").rlike("^[A-Za-z0-9]"),
         "distinct": F.size(F.array_distinct(F.split(F.substring(m, 1, 64), ""))),
     }
     out |= {f"cue_{k}": left.rlike(f"(?:{p})") for k, p in CUES.items()}
+    out |= {f"near_{k}": F.right(left, F.lit(NEAR)).rlike(f"(?:{p})") for k, p in CUES.items()}
     return {k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in out.items()}
 
 
@@ -201,24 +271,21 @@ def _as_sql(node: Node, names: list[str]) -> str:
 
 
 def calibrate(score: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """The lowest threshold from which on at least `precision` of the candidates are right; infinite if there is none."""
+    """The lowest threshold from which on at least `precision` of the candidates are right; infinite if there is none.
+
+    It lies halfway between the lowest score that stays and the next below; where all stay, at even odds or at the lowest.
+    """
     order = np.argsort(-score, kind="stable")
     right = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
     last = np.append(np.diff(score[order]) != 0, True) if len(y) else np.zeros(0, bool)  # equal scores go together
     ok = np.nonzero((right >= precision) & last)[0]
-    return float(score[order][ok[-1]]) if len(ok) else float("inf")
-
-
-def shares(sizes: list[int], most: int) -> list[int]:
-    """How many of each group to draw, `most` in all: small groups whole, the others as many each."""
-    out, left = [0] * len(sizes), most
-    for i, k in enumerate(order := sorted(range(len(sizes)), key=lambda k: sizes[k])):
-        out[k] = min(sizes[k], left // (len(order) - i))
-        left -= out[k]
-    return out
+    if not len(ok):
+        return float("inf")
+    low = float(score[order][ok[-1]])
+    return (low + float(score[order][ok[-1] + 1])) / 2 if ok[-1] + 1 < len(y) else min(0.0, low)
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 20_000, precision: float = 0.98) -> DataFrame:
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 2_000, precision: float = 0.98) -> DataFrame:
     """One row per row of `docs`: ``doc_id, row, spans``; a span is ``kind_no, start, end, base, score``, in order."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     one = docs.select(doc_id(id_col).alias("doc_id"), text.alias("text"))
@@ -232,24 +299,24 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
     each = each.withColumn("base", F.coalesce(base_valid(F.col("name"), F.col("match")), F.lit(False)))
     features = _features(each)
     names = list(features)
-    known = materialize(each.select("row", "name", "kind_no", "start", "end", "base", _silver(F.col("name"), F.col("match")).alias("silver"), *[v.alias(k) for k, v in features.items()]), "pii-features")
-
-    counted = {r["kind_no"]: r["count"] for r in known.groupBy("kind_no").count().collect()}  # at most one row a kind
-    draw = shares([counted.get(k, 0) for k in range(len(KINDS))], sample)
-    some = known.select("kind_no", "silver", F.xxhash64("row", "name", "start").alias("draw"), *names)
-    each = [some.filter(F.col("kind_no") == k).orderBy("draw", *names).limit(n).collect() for k, n in enumerate(draw) if n]
-    drawn = [r for rows in each for r in rows]
-    x = np.array([[r[k] for k in names] for r in drawn], dtype=float).reshape(len(drawn), len(names))
-    y = np.array([r["silver"] for r in drawn], dtype=float)
-    kind = np.array([r["kind_no"] for r in drawn], dtype=int)
-    fit = np.array([i % 2 == 0 for rows in each for i in range(len(rows))], dtype=bool)  # in each kind, every second one
-    trees = fit_trees(x[fit], y[fit])
+    known = materialize(each.select("row", "name", "kind_no", "start", "end", "base", "left", "right", *[v.alias(k) for k, v in features.items()]), "pii-features")
+
+    drawn = known.select("left", "right").orderBy(F.xxhash64("left", "right"), "left", "right").limit(sample).collect()
+    rows = planted([(r["left"], r["right"]) for r in drawn])
+    plants = docs.sparkSession.createDataFrame(rows, "name string, match string, left string, right string, true boolean, held boolean")
+    learned = plants.select("name", "true", "held", *[v.alias(k) for k, v in _features(plants).items()]).collect()
+    x = np.array([[r[k] for k in names] for r in learned], dtype=float)
+    y = np.array([r["true"] for r in learned], dtype=float)
+    held = np.array([r["held"] for r in learned], dtype=bool)
+    of_kind = {g.name: KINDS.index(g.kind) for g in GENERATORS}
+    kind = np.array([of_kind[r["name"]] for r in learned], dtype=int)
+    trees = fit_trees(x[~held], y[~held])
     score = sum((_apply(t, x) for t in trees), np.zeros(len(y)))
-    least = [calibrate(score[~fit & (kind == k)], y[~fit & (kind == k)], precision) for k in range(len(KINDS))]
+    least = [calibrate(score[held & (kind == k)], y[held & (kind == k)], precision) for k in range(len(KINDS))]
 
     known = known.withColumn("score", F.expr(" + ".join(_as_sql(t, names) for t in trees)))
     threshold = F.element_at(F.array(*[F.lit(t if np.isfinite(t) else None).cast("double") for t in least]), F.col("kind_no") + 1)
-    spans = known.select("row", "name", "kind_no", "start", "end", "base", "score", F.coalesce(F.col("score") >= threshold, F.col("silver") > 0).alias("taken")).filter(F.col("base") | F.col("taken"))
+    spans = known.select("row", "name", "kind_no", "start", "end", "base", "score", F.coalesce(F.col("score") >= threshold, F.col("format") > 0).alias("taken")).filter(F.col("base") | F.col("taken"))
     # other spans must not overlap a base span, nor an earlier other one
     by = W.partitionBy("row").orderBy("start", "end", "kind_no", "name")
     before, after = by.rowsBetween(W.unboundedPreceding, -1), by.rowsBetween(1, W.unboundedFollowing)

@@ -5,8 +5,8 @@ link:
 
 * two fingerprints within `radius` bits agree on at least one of ``radius + 1`` bands of bits, so
   tiles are cut inside the rows that share a band's value;
-* inside them rows are in order of their population count, and rows or tiles whose counts differ
-  by more than `radius` are skipped, since each differing bit changes the count by one at most.
+* inside them rows are in order of their population count and cut into tiles, and pairs of tiles whose counts
+  differ by more than `radius` are skipped, since each differing bit changes the count by one at most.
 
 Both rules are exact: nothing within the radius is lost.  A band value that many fingerprints share is
 cut into tiles by population count and a hash, and each pair of tiles is a group of its own, so no
@@ -150,19 +150,28 @@ class _Links:
         return pd.DataFrame({"a": fp[self.u[0]], "b": fp[self.v[0]]})
 
 
-def near_in_order(key: np.ndarray, fp: np.ndarray, radius: int, links: _Links) -> None:
-    """Link rows of equal `key` within `radius`; rows are ordered by key, then by population count."""
-    bits = fp.view(np.uint64)
+def near_by_key(key: np.ndarray, fp: np.ndarray, radius: int, links: _Links, rows: int = 64) -> None:
+    """Link rows of equal `key` within `radius`; rows are ordered by key, then by population count.
+
+    All rows are cut into tiles of `rows`, whatever their keys.  A tile is compared with itself, and with a later one
+    if a key goes on from its last row to that one's first and their population counts do not differ beyond the radius.
+    """
+    n = -len(fp) % rows
+    bits = np.append(fp, np.zeros(n, fp.dtype)).view(np.uint64).reshape(-1, rows)
+    key = np.append(key, -1 - np.arange(n)).reshape(-1, rows)  # rows that fill up the last tile have keys of their own
     count = np.bitwise_count(bits).astype(np.int16)
-    live = np.arange(len(fp))
-    step = 0
+    live, step = np.arange(len(bits)), 0
     while len(live):
+        for i in range(0, len(live), 512):
+            a = live[i : i + 512]
+            near = np.bitwise_count(bits[a][:, :, None] ^ bits[a + step][:, None, :]) <= radius
+            near &= key[a][:, :, None] == key[a + step][:, None, :]
+            tile, u, v = np.nonzero(near)
+            u, v = a[tile] * rows + u, (a[tile] + step) * rows + v
+            links.add(u[u < v], v[u < v])
         step += 1
-        live = live[live + step < len(fp)]
-        other = live + step
-        live = live[(key[live] == key[other]) & (count[other] - count[live] <= radius)]
-        near = np.bitwise_count(bits[live] ^ bits[live + step]) <= radius
-        links.add(live[near], live[near] + step)
+        live = live[live + step < len(bits)]
+        live = live[(key[live, -1] == key[live + step, 0]) & (count[live + step, 0] - count[live, -1] <= radius)]
 
 
 def near_in_tiles(a: np.ndarray, b: np.ndarray | None, radius: int, rows: int = 256) -> pd.DataFrame:
@@ -196,7 +205,7 @@ def _banded(rows: DataFrame, masks: Column) -> DataFrame:
 def near_links(prints: DataFrame, radius: int = 3, tile: int = 2048, dense: int = 8) -> DataFrame:
     """Links ``a, b`` between distinct fingerprints (column ``fp``) that connect all within `radius` of each other.
 
-    The rows of a band's value are compared in one piece up to `tile` of them, and in pairs of tiles up to
+    The rows of a band's value are compared in one task up to `tile` of them, and as pairs of tiles, each a group of its own, up to
     `dense` times as many.  Beyond that they are banded once more, on the bits that the band leaves: fingerprints
     within the radius agree on one of those parts too.  So the work a fingerprint makes does not grow with the table
     until values of both bands together (28 bits, for radius 3) are shared by more than a tile.
@@ -227,11 +236,11 @@ def near_links(prints: DataFrame, radius: int = 3, tile: int = 2048, dense: int
             held = pdf.iloc[cut:]
             if cut:
                 fp, links = pdf["fp"].to_numpy()[:cut], _Links(cut)
-                near_in_order(np.cumsum(new)[:cut], fp, radius, links)
+                near_by_key(np.cumsum(new)[:cut], fp, radius, links)
                 yield links.result(fp)
         if held is not None:
             fp, links = held["fp"].to_numpy(), _Links(len(held))
-            near_in_order(np.zeros(len(fp)), fp, radius, links)
+            near_by_key(np.zeros(len(fp), np.int64), fp, radius, links)
             yield links.result(fp)
 
     def tiles(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -253,6 +262,13 @@ def near_links(prints: DataFrame, radius: int = 3, tile: int = 2048, dense: int
     return ordered if out is None else ordered.unionByName(out)
 
 
+def told(rows: DataFrame, key: str, table: DataFrame, salts: int = 32) -> DataFrame:
+    """`rows` with the columns of `table` (unique by `key`) for their `key`; a key that very many rows have is spread over `salts` groups."""
+    rows = rows.withColumn("salt", salt_of(F.struct(*rows.columns), salts))
+    asked = rows.groupBy(key, "salt").agg(F.lit(0).alias("one")).drop("one").join(table, key)
+    return rows.join(asked, [key, "salt"], "left").drop("salt")
+
+
 def connected(links: DataFrame) -> DataFrame:
     """``v, label`` for each end of a link: label is the smallest end that v can reach."""
     both = materialize(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
@@ -264,10 +280,10 @@ def connected(links: DataFrame) -> DataFrame:
         if now == total:
             return label
         total = now
-        told = both.join(label, F.col("b") == F.col("v")).groupBy("a").agg(F.min("label").alias("low"))
-        lower = label.join(told, F.col("v") == F.col("a"), "left").select("v", F.least("label", "low").alias("label"))
-        up = lower.select(F.col("v").alias("w"), F.col("label").alias("top"))
-        label = materialize(lower.join(up, F.col("label") == F.col("w"), "left").select("v", F.coalesce("top", "label").alias("label")), "labels")
+        next_ = told(both, "b", label.withColumnRenamed("v", "b")).groupBy(F.col("a").alias("v")).agg(F.min("label").alias("low"))
+        lower = label.join(next_, "v", "left").select("v", F.least("label", "low").alias("label"))
+        top = told(lower, "label", lower.select(F.col("v").alias("label"), F.col("label").alias("top")))
+        label = materialize(top.select("v", F.coalesce("top", "label").alias("label")), "labels")
 
 
 def simhash_components(
@@ -291,7 +307,7 @@ def simhash_components(
         label = connected(links)
         linked = label.join(prints, F.col("v") == F.col("fp")).select("v", "label", "first")
         lowest = linked.groupBy("label").agg(F.min("first").alias("low"))
-        found = linked.join(lowest, "label").select("v", "low")
+        found = told(linked, "label", lowest, salts).select("v", "low")
         least = prints.join(found, F.col("fp") == F.col("v"), "left").select("fp", "mask", F.coalesce("low", "first").alias("component_id"))
     least = least.select("fp", "component_id", F.explode(salts_in(F.col("mask"), salts)).alias("salt"))
     null = F.lit(NULL_ID)

@@ -6,7 +6,8 @@ word is spread over all of them and no task gathers a whole posting list.  Docum
 one position apart, so a phrase cannot run over a document's end.
 
 `find` takes phrases (term lists), a bounded block at a time.  Only postings of terms that occur in the
-block leave the index.  In each segment a phrase starts from its rarest term; the lists of its other
+block leave the index, and a segment tries the phrases whose rarest term in the block it has.  There a phrase starts
+from its rarest term in the segment; the lists of its other
 terms, in order of rarity and moved by their offsets, are intersected until none is left.  With
 `slop` 0 matches are exact phrases; otherwise each term may be up to `slop` positions off its place
 relative to the rarest (proximity).
@@ -19,6 +20,8 @@ tables give no rows, or rows without hits.  Other columns are not looked at.
 
 from __future__ import annotations
 
+import itertools
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -123,7 +126,10 @@ def occurrences(lists: dict[bytes, np.ndarray], phrase: tuple[bytes, ...], slop:
 
 
 def _match(phrases: dict[tuple[bytes, ...], set[str]], slop: int):
-    parts = [(p, tuple(sorted(k))) for p, k in phrases.items()]
+    often = Counter(t for p in phrases for t in set(p))
+    by_rarest: dict[bytes, list[tuple[tuple[bytes, ...], tuple[str, ...]]]] = {}
+    for p, k in phrases.items():
+        by_rarest.setdefault(min(p, key=lambda t: (often[t], t)), []).append((p, tuple(sorted(k))))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         is_doc = pdf["term"].isna().to_numpy()
@@ -134,7 +140,8 @@ def _match(phrases: dict[tuple[bytes, ...], set[str]], slop: int):
         have = lists.__contains__
         ids: dict[int, set[str]] = {}
         docs, los, his = [], [], []
-        for phrase, keys in parts:
+        # only phrases whose rarest term (among those asked for) the segment has
+        for phrase, keys in itertools.chain.from_iterable(by_rarest.get(t, ()) for t in lists):
             if not all(map(have, phrase)) or not len(at := occurrences(lists, phrase, slop)):
                 continue
             d = np.maximum(np.searchsorted(start, at, side="right") - 1, 0)

@@ -9,7 +9,8 @@ copies are taken outright.  The fraction is an inclusion probability p; document
 and the front of that order is taken until the source's words are reached: a sample of fixed size,
 with unequal probabilities, that reruns draw alike.
 
-No source is ever ordered in one task.  Ranks are first counted in `bins` bins of U's scale; running
+No source is ever ordered in one task.  Ranks are first counted in `bins` bins of U's scale (by default so
+many that one of the largest source has some BIN_ROWS documents); running
 sums over the bins of a source say which bin holds the cut, and only documents in that bin are
 ordered one by one.
 
@@ -29,6 +30,12 @@ from .common import doc_id, materialize
 #: Sources are few; their totals come to the driver if there are no more than this.
 MOST_SOURCES = 200_000
 
+#: Expected words are added up in millionths.
+MICRO = 1_000_000
+
+#: Documents of the largest source that a bin holds on average, unless it is given how many bins there are.
+BIN_ROWS = 20_000
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -77,7 +84,7 @@ def mix(
     source_col: str = "source",
     weight: Column | None = None,
     seed: int = 42,
-    bins: int = 4096,
+    bins: int | None = None,
 ) -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target, copies, taken``.
 
@@ -90,10 +97,11 @@ def mix(
         docs.select(doc_id(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"), (F.lit(1.0) if weight is None else F.coalesce(weight.cast("double"), F.lit(0.0))).alias("w")),
         "mix-sizes",
     )
-    totals = base.groupBy("source").agg(F.sum("size").alias("source_size"))
+    totals = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     few = totals.limit(MOST_SOURCES + 1).collect()
     if len(few) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources; map them to fewer first")
+    bins = bins or max(4096, max((r["n"] for r in few), default=0) // BIN_ROWS)
     targets = _targets(spark, few, list(weights), share, most)
     joined = base.join(F.broadcast(targets), base["source"].eqNullSafe(targets["source"])).drop(targets["source"])  # at most MOST_SOURCES rows
     due = F.when(F.col("source_size") > 0, F.least(F.lit(most), F.col("w") * F.col("target") / F.col("source_size"))).otherwise(0.0)
@@ -103,7 +111,7 @@ def mix(
     rows = rows.withColumn("q", F.when(F.col("p") > 0, odds))
     # q is mapped back to (0, 1) for the bins: an order-preserving scale on which ranks spread evenly
     rows = rows.withColumn("bin", F.when(F.col("q").isNotNull(), F.floor(F.col("q") / (1 + F.col("q")) * bins).cast("int")))
-    rest = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("p")).alias("rest"))
+    rest = rows.groupBy("source").agg((F.sum(F.round(F.col("size") * F.col("p") * MICRO).cast("decimal(38,0)")) / MICRO).cast("double").alias("rest"))  # whole numbers, so that the order does not matter
     counted = rows.filter("bin is not null").groupBy("source", "bin").agg(F.sum("size").alias("words"))
     run = W.partitionBy("source").orderBy("bin").rowsBetween(W.unboundedPreceding, W.currentRow)  # at most `bins` rows a source
     counted = counted.withColumn("upto", F.sum("words").over(run))

@@ -14,8 +14,7 @@ the code lengths are of a proper distribution over texts.
 1. One scan cuts the documents into parts.  A part keeps its texts, compressed, and says by bucket which
    trie nodes and words occur in it and how often in training.  A bucket has all contexts of some pairs of
    preceding bytes, or the words with some hash.
-2. A bucket's requests are merged (first by groups of parts, if there are many) into its share of the
-   model, code lengths are worked out there, and each part gets its own ones back.
+2. A bucket's requests are merged (in a tree, at most `fan_in` at a time) into its share of the model, code lengths are worked out there, and each part gets its own ones back.
 3. Each part scores its texts.
 
 No task holds the whole model, and what is sent back to a part is what occurs in it.
@@ -99,9 +98,11 @@ def adaptive_scores(docs: DataFrame, order: int = 5, id_col: str = "doc_id", tex
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_bytes": [len(t.encode("utf-8", "replace")) for t in texts], "score": [Trie(order).score(t, learn=True) for t in texts]})
+            ids = pd.array([None if pd.isna(i) else int(i) for i in pdf["doc_id"]], dtype="Int64")
+            yield pd.DataFrame({"doc_id": ids, "n_bytes": [len(t.encode("utf-8", "replace")) for t in texts], "score": [Trie(order).score(t, learn=True) for t in texts]})
 
-    return docs.select(doc_id(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, "doc_id long, n_bytes long, score double")
+    # an id may be null: as strings, ids stay whole in pandas
+    return docs.select(doc_id(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, "doc_id long, n_bytes long, score double")
 
 
 def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -281,6 +282,7 @@ def pretrained_scores(
     text_col: str = "text",
     part_bytes: int = PART,
     buckets: int | None = None,
+    fan_in: int = 512,
 ) -> DataFrame:
     """Score every document by a model that learns from the rows where `trained` is true.
 
@@ -312,19 +314,23 @@ def pretrained_scores(
     cut_up = materialize(rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(cut, PARTS), "ppm-parts")
     needs = cut_up.filter("bucket is not null").select("part", "bucket", "names", "n")
     n_parts = cut_up.filter("bucket is null").count()
-    groups = max(1, math.ceil(n_parts / (4 * many)))  # of parts, so that what meets in a task stays small
+    groups = max(1, math.ceil(n_parts / fan_in))  # of parts, so that what meets in a task stays small
     needs = needs.withColumn("group", F.pmod(F.xxhash64("part"), F.lit(groups)).cast("int"))
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        bucket = int(pdf["bucket"].iloc[0])
+        bucket, group = int(pdf["bucket"].iloc[0]), int(pdf["group"].iloc[0])
         names, n = _merge(bucket >= many, pdf["names"], pdf["n"])
-        return pd.DataFrame({"bucket": [bucket], "names": [_squeeze(b" ".join(names)) if bucket >= many else _squeeze_sorted(names)], "n": [_squeeze(n)]})
-
-    merged = "bucket int, names binary, n binary"
-    model = needs
-    if groups > 1:
-        model = model.groupBy("bucket", "group").applyInPandas(merge, merged)
-    model = materialize(model.groupBy("bucket").applyInPandas(merge, merged), "ppm-model")
+        return pd.DataFrame({"bucket": [bucket], "group": [group], "names": [_squeeze(b" ".join(names)) if bucket >= many else _squeeze_sorted(names)], "n": [_squeeze(n)]})
+
+    # a tree of merges: no task meets more than `fan_in` requests of a bucket, however frequent its bytes are
+    model, left = needs, groups
+    while True:
+        model = model.groupBy("bucket", "group").applyInPandas(merge, "bucket int, group int, names binary, n binary")
+        if left == 1:
+            break
+        left = math.ceil(left / fan_in)
+        model = materialize(model.withColumn("group", F.pmod("group", F.lit(left))), "ppm-merged")
+    model = materialize(model.drop("group"), "ppm-model")
 
     def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -67,8 +67,8 @@ def test_pretrained_scores(docs_of, edge):
     tokens = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), None]
     count = Counter(w for i, t in enumerate(texts) if i % 3 for w in tokens(t))
     n, v = sum(count.values()), len(count)
-    for part, buckets in ((1 << 25, None), (300, 2)):
-        got = {r["doc_id"]: r for r in ppm.pretrained_scores(docs_of(rows), F.col("doc_id") % 3 != 0, order=3, part_bytes=part, buckets=buckets).collect()}
+    for part, buckets, fan_in in ((1 << 25, None, 512), (300, 2, 2)):
+        got = {r["doc_id"]: r for r in ppm.pretrained_scores(docs_of(rows), F.col("doc_id") % 3 != 0, order=3, part_bytes=part, buckets=buckets, fan_in=fan_in).collect()}
         assert len(got) == len(texts)
         for i, t in enumerate(texts):
             assert got[i]["score"] == pytest.approx(trie.score(t, learn=False), rel=1e-5)
@@ -83,6 +83,8 @@ def test_adaptive_scores(docs_of):
     got = {r["doc_id"]: r["score"] for r in ppm.adaptive_scores(docs_of(["ab" * 50, "ab", None])).collect()}
     assert got[0] == pytest.approx(ppm.Trie(5).score("ab" * 50, learn=True))
     assert got[0] / 100 > got[1] / 2
+    odd = docs_of([(None, "a", "en", "s"), (2**60 + 1, "b", "en", "s")]).coalesce(1)
+    assert {r["doc_id"] for r in ppm.adaptive_scores(odd).collect()} == {None, 2**60 + 1}
 
 
 WORDS = {"en": "the and thing over water house with from".split(), "de": "der und schön über straße haus nicht".split(), "fr": "le et très où été maison avec".split()}

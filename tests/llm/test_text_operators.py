@@ -258,12 +258,60 @@ def test_token_tree_of_random_edits():
 
     pattern, count = encoder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
     rng = random.Random(4)
-    for _ in range(20):
-        tree = TokenTree("".join(rng.choice(["ab", " ", "\n", "don't", "12", ".", "é"]) for _ in range(200)), pattern, count)
+    for n in range(60):
+        tree = TokenTree("".join(rng.choice(["ab", " ", "\n", "don't", "12", ".", "é", "   ", "\n \n"]) for _ in range(rng.choice([0, 5, 200, 600]))), pattern, count)
+        text = tree.text
         for _ in range(10):
-            a = rng.randint(0, len(tree.text))
-            tree.edit(a, min(len(tree.text), a + rng.choice([0, 1, 5, 100])), rng.choice(["", " ", "x", "\n\n", "word " * 40]))
-            assert tree.total == sum(map(count, pattern.findall(tree.text)))
+            a = rng.randint(0, len(text))
+            b, new = min(len(text), a + rng.choice([0, 1, 5, 100])), rng.choice(["", " ", "x", "\n\n", "word " * 40, "'"])
+            tree.edit(a, b, new)
+            text = text[:a] + new + text[b:]
+            assert tree.text == text and tree.size == len(text) and tree.between(a, b) == text[a:b]
+            assert tree.total == sum(map(count, pattern.findall(text)))
+            assert [s for leaf in tree.leaves for s in leaf[1]] == list(map(len, pattern.findall(text)))
+
+
+def test_many_edits_cost_no_more_than_encoding_anew():
+    import time
+
+    import public_tokenizers as P
+
+    pattern, count = encoder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    text = " ".join(f"word{i % 1000}" for i in range(60_000))
+    edits = [(m, m + 4, "WORD!") for m in range(0, len(text) - 10, 16)]
+    tree = TokenTree(text, pattern, count)
+    began = time.time()
+    assert tree.edit_all(edits) == 0
+    took = time.time() - began
+    want, at = [], 0
+    for a, b, new in edits:
+        want += [text[at:a], new]
+        at = b
+    want = "".join(want) + text[at:]
+    began = time.time()
+    anew = TokenTree(want, pattern, count)
+    assert took < 4 * (time.time() - began) + 0.5
+    assert tree.text == want and tree.total == anew.total
+    # a few edits in a long text touch little of it
+    before = anew.encoded
+    assert anew.edit_all([(5, 9, "x"), (200_000, 200_000, "new "), (400_000, 400_010, "")]) == 0 and anew.encoded - before < 60
+
+
+def test_trees_are_kept(spark, docs_of, edge):
+    import public_tokenizers as P
+
+    from siltstone.llm.token_counts import edit_trees, token_trees
+
+    pattern, count = encoder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    rows = [(2**60 + 1, "one two three", "en", "s"), (None, "four  five", "en", "s"), *[(i, t, "en", "s") for i, t in enumerate(edge)]]
+    edits = lambda *e: spark.createDataFrame(list(e), "doc_id long, start int, end int, new string")
+    first = edit_trees(token_trees(docs_of(rows)), edits((2**60 + 1, 4, 7, "2"), (7, 0, 5, "x y"), (7, 1000, 1000, "\n"))).select("doc_id", "n_tokens", F.lit(0).cast("long").alias("n_pieces"), "text", "sizes", "counts")
+    text = {r["doc_id"]: r["text"] for r in first.collect()}
+    assert text[2**60 + 1] == "one 2 three" and text[None] == "four  five" and text[7].startswith("x y")
+    again = {r["doc_id"]: r for r in edit_trees(first, edits((2**60 + 1, 0, 3, "1"), (7, 3, 900, ""))).collect()}
+    assert again[2**60 + 1]["text"] == "1 2 three" and len(again[7]["text"]) == len(text[7]) - 897
+    for r in again.values():
+        assert r["n_tokens"] == sum(map(count, pattern.findall(r["text"]))) and r["n_before"] == sum(map(count, pattern.findall(text[r["doc_id"]])))
 
 
 def test_digest_of_no_spans():

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import simhash as S
 from siltstone.llm.exact_dedup import exact_dedup
-from siltstone.llm.substring_dedup import compact_windows, near_passages, substring_dedup, tokens
+from siltstone.llm.substring_dedup import compact_windows, near_passages, numbered, substring_dedup, tokens
 
 
 def brute_exact(rows):
@@ -145,7 +145,7 @@ def test_passages(docs_of, edge):
     assert [(s["start"], s["end"]) for s in got[n + 1]["spans"]] == [(100 - k, 160) for k in (100 - got[n + 1]["spans"][0]["start"],)] and got[n + 1]["n_dup_words"] >= 60
     assert got[n + 2]["n_dup_words"] >= 60 and got[n + 2]["partners"] == [n]
     assert got[n + 3]["n_dup_words"] >= 50
-    assert near_passages(docs_of(["x"]).limit(0)).count() == 0
+    assert near_passages(numbered(docs_of(["x"]).limit(0), "doc_id", "text")[0]).count() == 0
 
 
 def test_passages_of_frequent_lines(docs_of):
@@ -172,6 +172,63 @@ def test_passages_of_frequent_lines(docs_of):
         assert want[i] <= got and (want[i] or not got), i
 
 
+def brute_passages(texts, least=50, width=5, similarity=0.8):
+    """Per text, the words inside stretches of `least` words of which an earlier text has enough shingles side by side.
+
+    A stretch counts if some stretch of an earlier text, as long, shares `similarity` of the shingles.
+    """
+    size = least - width + 1
+    need = int(np.ceil(similarity * size - 1e-9))
+    shingles = [[" ".join(w[i : i + width]) for i in range(len(w) - width + 1)] for w in (t.split() for t in texts)]
+    out = []
+    for i, own in enumerate(shingles):
+        hit = set()
+        for there in shingles[:i]:
+            places = {}
+            for q, s in enumerate(there):
+                places.setdefault(s, []).append(q)
+            for p in range(len(own) - size + 1):
+                at = sorted(q for s in set(own[p : p + size]) for q in places.get(s, ()))
+                if len(at) >= need and any(len({there[q] for q in at if lo <= q < lo + size}) >= need for lo in at):
+                    hit |= set(range(p, p + least))
+        out.append(hit)
+    return out
+
+
+def test_recall_of_near_passages_by_similarity(docs_of):
+    """Against brute force, on passages of which 0, 1 or 2 words were changed (52 words have 48 shingles, a word is in five)."""
+    rng = random.Random(11)
+    fill = lambda n: [f"f{rng.randrange(10**7)}" for _ in range(n)]
+    texts, changed = [], []
+    for group in range(30):
+        passage = fill(56)
+        for copy in range(3):
+            own, n = list(passage), group % 3 if copy else 0
+            for at in rng.sample(range(3, 53), n):
+                own[at] = fill(1)[0]
+            texts.append(" ".join(fill(20) + own + fill(rng.randint(5, 30))))
+            changed.append(n)
+    want, caught, total, wrong = brute_passages(texts), {}, {}, 0
+    got = {r["doc_id"]: {x for s in r["spans"] for x in range(s["start"], s["end"])} for r in substring_dedup(docs_of(texts)).collect()}
+    for i, hit in enumerate(want):
+        total[changed[i]] = total.get(changed[i], 0) + bool(hit)
+        caught[changed[i]] = caught.get(changed[i], 0) + bool(hit and len(got[i] & hit) >= 0.9 * len(hit))
+        wrong += bool(got[i] and not hit)
+    assert wrong == 0 and total[0] == 20 and total[1] == 20 and total[2] >= 5, (total, wrong)
+    assert caught[0] == total[0] and all(caught[n] >= 0.9 * total[n] for n in total), (caught, total)
+
+
+def test_passages_of_rows_that_share_an_id(docs_of):
+    rng = random.Random(3)
+    fill = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage, short = fill(60), fill(10)
+    rows = [(1, fill(20) + " " + passage, "en", "s"), (2, short, "en", "s"), (2, passage + " " + fill(30), "en", "s"), (2, short, "en", "s"), (None, fill(80), "en", "s"), (None, passage, "en", "s")]
+    got = [(r["doc_id"], r["n_dup_words"], [(s["start"], s["end"]) for s in r["spans"]], r["partners"]) for r in substring_dedup(docs_of(rows)).collect()]
+    assert len(got) == 6
+    assert sorted(x[1] >= 60 for x in got if x[0] == 2) == [False, False, True] and sorted(x[1] for x in got if x[0] is None) == [0, 60]
+    assert all(x[2] == [(0, x[1])] and x[1] < 75 and x[3] and set(x[3]) <= {1, 2} for x in got if x[1])
+
+
 def test_tokens_are_of_five_words():
     assert len(tokens("a b c d", 5)) == 0 and len(tokens("a b c d e f", 5)) == 2
     assert tokens("A, b. C d e", 5)[0] == tokens("a b c d e", 5)[0]

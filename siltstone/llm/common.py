@@ -6,7 +6,9 @@ import atexit
 import math
 import tempfile
 import uuid
+from collections.abc import Iterable
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,49 +17,73 @@ NULL_ID = 2**63 - 1
 
 _made: dict[str, SparkSession] = {}
 
+#: Spark's setting by which shuffle files go as soon as the query that wrote them has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is ``spark.checkpoint.dir`` of the session.  Only where that is unset (tests, a laptop) a
-    temporary folder is taken and set.
+    It is ``spark.checkpoint.dir`` of the session.  Only where that is unset and everything runs in one process or machine
+    (tests, a laptop) a temporary folder is taken and set; on a cluster that is an error.
     """
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
         where = spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="siltstone-")
         spark.sparkContext.setCheckpointDir(where)
     return where
 
 
 def _drop(path: str, spark: SparkSession) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    except Exception:  # the session may be gone; the folder is then left to the cluster's own clean-up
-        pass
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 @atexit.register
 def _drop_all() -> None:
     for path, spark in list(_made.items()):
-        _drop(path, spark)
+        if spark.sparkContext._jsc is None:
+            break  # the session is gone; the folder is then left to the cluster's own clean-up
+        try:
+            _drop(path, spark)
+        except Py4JError:
+            break  # its JVM is gone
     _made.clear()
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def release(*tables: DataFrame) -> None:
+    """Delete tables of `materialize` that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_siltstone_path", None)
+        if path in _made:
+            _drop(path, _made.pop(path))
+
+
+def materialize(df: DataFrame, name: str, done: Iterable[DataFrame] = (), compression: str = "snappy") -> DataFrame:
     """Write `df` as Parquet into the shared folder and read it again.
 
     It cuts lineage and lets several branches read the rows without computing them again.  The files
-    survive lost executors and are deleted when the driver process ends.
+    survive lost executors.  Once `df` is written, its shuffle files and the tables in `done` are deleted; the rest goes when
+    the driver process ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/siltstone-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    was = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        spark.conf.unset(CLEAN_UP) if was is None else spark.conf.set(CLEAN_UP, was)
     _made[path] = spark
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._siltstone_path = path
+    release(*done)
+    return out
 
 
 def input_bytes(df: DataFrame) -> int:

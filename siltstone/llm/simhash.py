@@ -283,7 +283,7 @@ def connected(links: DataFrame) -> DataFrame:
         next_ = told(both, "b", label.withColumnRenamed("v", "b")).groupBy(F.col("a").alias("v")).agg(F.min("label").alias("low"))
         lower = label.join(next_, "v", "left").select("v", F.least("label", "low").alias("label"))
         top = told(lower, "label", lower.select(F.col("v").alias("label"), F.col("label").alias("top")))
-        label = materialize(top.select("v", F.coalesce("top", "label").alias("label")), "labels")
+        label = materialize(top.select("v", F.coalesce("top", "label").alias("label")), "labels", done=[label])
 
 
 def simhash_components(

@@ -124,6 +124,60 @@ FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+# --- what SQL can say of operators that it cannot express as a whole
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path and rule of op4's operator; verdicts where a rule decides."""
+    out = judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+    return out.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("verdict"))
+
+
+_FITS = "\n".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}') THEN '{a} {h}/{p}'" for a, h, p in sorted(((a, *r.split("/", 1)) for a, r in URL_RULES), key=lambda x: -len(x[1]) - len(x[2])))
+
+URL_RULES_SQL = rf"""
+WITH u AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), r AS (SELECT *, CASE {_FITS} END AS r FROM u)
+SELECT page_id, host, path, split_part(r, ' ', 2) AS rule, split_part(r, ' ', 1) AS verdict FROM r
+"""
+
+
+def mix_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of op7's operator, and whether each target keeps to twice the source."""
+    out = mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", (F.col("target") <= 2 * F.col("source_size")).alias("bounded"), (F.col("taken") <= 2 * F.col("size")).alias("taken_bounded"))
+
+
+MIX_SIZES_SQL = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS size FROM documents)
+SELECT doc_id, size, CAST(sum(size) OVER (PARTITION BY source) AS BIGINT) AS source_size, TRUE AS bounded, TRUE AS taken_bounded FROM d
+"""
+
+
+def pii_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans by kind of op6's operator."""
+    return op6_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+PII_BASE_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), m AS (
+  SELECT doc_id, regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS email,
+         regexp_extract_all(t, '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)') AS ip,
+         list_transform(regexp_extract_all(t, '[0-9](?:[ -]?[0-9])+'), lambda x: reverse(regexp_replace(x, '[^0-9]', '', 'g'))) AS card,
+         list_transform(regexp_extract_all(t, '\+[0-9][ ().0-9-]+[0-9]'), lambda x: length(regexp_replace(x, '[^0-9]', '', 'g'))) AS phone
+  FROM d
+)
+SELECT doc_id, CAST(len(email) AS BIGINT) AS n_email,
+       CAST(len(list_filter(ip, lambda x: len(list_filter(string_split(x, '.'), lambda p: length(ltrim(p, '0')) > 3 OR CAST(right('000' || ltrim(p, '0'), 3) AS INTEGER) > 255)) = 0)) AS BIGINT) AS n_ip,
+       CAST(len(list_filter(card, lambda x: length(x) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, CAST(length(x) AS BIGINT) + 1), lambda i: CASE WHEN i % 2 = 1 THEN CAST(x[i] AS INTEGER) WHEN CAST(x[i] AS INTEGER) > 4 THEN CAST(x[i] AS INTEGER) * 2 - 9 ELSE CAST(x[i] AS INTEGER) * 2 END)) % 10 = 0)) AS BIGINT) AS n_card,
+       CAST(len(list_filter(phone, lambda n: n BETWEEN 8 AND 15)) AS BIGINT) AS n_phone
+FROM m
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ppm_score": op1_ppm_score,
     "op2_token_counts": op2_token_counts,
@@ -135,9 +189,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "url_rules": url_rules,
+    "mix_sizes": mix_sizes,
+    "pii_base_counts": pii_base_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op9_exact_dedup": OP9_SQL,
     "op10_decontaminate": OP10_SQL,
+    "url_rules": URL_RULES_SQL,
+    "mix_sizes": MIX_SIZES_SQL,
+    "pii_base_counts": PII_BASE_SQL,
 }

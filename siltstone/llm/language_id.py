@@ -39,6 +39,9 @@ WINDOW, CONTEXT = 512, 32
 #: Bytes of a training piece.
 PIECE = 64
 
+#: A network has a label for each language; there are no more than this.
+MOST_LANGUAGES = 1000
+
 #: Positions times labels that are held at once.
 _ROOM = 1 << 22
 
@@ -96,8 +99,8 @@ class BiGRU:
         return e / e.sum(axis=2, keepdims=True)
 
     def means(self, texts: list[bytes]) -> np.ndarray:
-        """For each text the mean over all its positions of the label probabilities (zero for an empty one)."""
-        sums = np.zeros((len(texts), len(self.labels)))
+        """For each text the means over all its positions of the label probabilities, and of the largest of them (zero for an empty text)."""
+        sums = np.zeros((len(texts), len(self.labels) + 1))
         rows = []  # text, where the row begins and ends, where its own positions begin and end in it
         for i, t in enumerate(texts):
             for at in range(0, len(t), WINDOW):
@@ -114,7 +117,7 @@ class BiGRU:
             q = self.label(np.ascontiguousarray(x), None if size[0] == wide else (at < size).T)
             if own.any() or (end < wide).any():
                 q *= ((at >= own) & (at < end))[:, :, None]
-            np.add.at(sums, i, q.sum(axis=0))
+            np.add.at(sums, i, np.column_stack([q.sum(axis=0), q.max(axis=2).sum(axis=0)]))
         return sums / np.maximum(1, np.array([len(t) for t in texts]).reshape(-1, 1))
 
     def loss(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -165,15 +168,14 @@ class BiGRU:
                 self.p[k] -= (now * first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
         return self
 
-    def calibrate(self, held: list[bytes], y: np.ndarray, low: float = 0.01) -> "BiGRU":
-        """Set `floor`: halfway from chance to the score that all but a share `low` of the rightly labelled pieces reach.
+    def calibrate(self, held: list[bytes], low: float = 0.001) -> "BiGRU":
+        """Set `floor`: halfway from chance to how sure the labels of all but a share `low` of these pieces are, on the mean.
 
-        Below it a text of at least one piece's length is in no learned language.
+        Below it a text of at least one piece's length is in no learned language.  One in several learned languages is
+        sure of each position, so it is not below.
         """
-        q = self.means(held) if len(held) else np.zeros((0, len(self.labels)))
-        right = q.max(axis=1, initial=0)[q.argmax(axis=1) == y] if len(held) else np.zeros(0)
         chance = 1 / len(self.labels)
-        self.floor = chance + 0.5 * (float(np.quantile(right, low)) - chance) if len(right) else 0.0
+        self.floor = chance + 0.5 * (float(np.quantile(self.means(held)[:, -1], low)) - chance) if len(held) else 0.0
         return self
 
 
@@ -193,9 +195,14 @@ def train(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col: st
     """
     draw = F.xxhash64(F.lit(seed), doc_id(id_col))
     own = docs.select(F.col(lang_col).cast("string").alias("lang"), draw.alias("draw"), F.col(text_col).alias("text"), trained.alias("trained")).filter("trained and lang is not null")
-    # languages are few; a table of them tells how small a hash must be, so that little more than the sample is shuffled
-    share = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select(F.col("lang").alias("of"), F.least(F.lit(1.0), 2.0 * docs_per_lang / F.col("n")).alias("share"))
-    some = own.join(share, F.col("lang") == F.col("of")).filter(F.pmod("draw", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    # how many rows a language has tells how small a hash must be, so that little more than the sample is shuffled
+    counted = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counted) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    if not counted:
+        return None
+    share = F.create_map(*[F.lit(x) for r in counted for x in (r["lang"], min(1.0, 2.0 * docs_per_lang / r["n"]))])
+    some = own.filter(F.pmod("draw", F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30))
     by = W.partitionBy("lang").orderBy("draw", F.xxhash64("text"))
     some = some.select("lang", "draw", "text", F.row_number().over(by).alias("rank")).filter(F.col("rank") <= docs_per_lang).select("lang", "text", "rank")
 
@@ -216,12 +223,12 @@ def train(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col: st
     y = fit["lang"].map(number).to_numpy()
     weight = 1 / np.bincount(y)[y] / len(labels)
     net = BiGRU(labels, seed=seed).fit(list(fit["piece"]), y, weight, steps=steps, seed=seed)
-    return net.calibrate([bytes(p) for p in held["piece"]], held["lang"].map(number).to_numpy())
+    return net.calibrate([bytes(p) for p in held["piece"]])
 
 
 def _label_texts(net: BiGRU, batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        langs, scores = [UNKNOWN] * len(batch), np.zeros(len(batch))
+        langs, scores, sure = [UNKNOWN] * len(batch), np.zeros(len(batch)), np.zeros(len(batch))
         held: list[tuple[int, bytes]] = []
         size = 0
         for i, t in enumerate(batch):
@@ -229,17 +236,18 @@ def _label_texts(net: BiGRU, batches: Iterator[pd.Series]) -> Iterator[pd.DataFr
                 held.append((i, normal(t)))
                 size += len(held[-1][1])
             if held and (size >= 1 << 20 or i == len(batch) - 1):
-                q = net.means([raw for _, raw in held])
-                for (k, _), best, score in zip(held, q.argmax(axis=1).tolist(), q.max(axis=1).tolist()):
-                    langs[k], scores[k] = net.labels[best], min(1.0, score)
+                means = net.means([raw for _, raw in held])
+                q = means[:, :-1]
+                for (k, _), best, score, each in zip(held, q.argmax(axis=1).tolist(), q.max(axis=1).tolist(), means[:, -1].tolist()):
+                    langs[k], scores[k], sure[k] = net.labels[best], min(1.0, score), each
                 held, size = [], 0
-        yield pd.DataFrame({"lang_pred": langs, "score": scores})
+        yield pd.DataFrame({"lang_pred": langs, "score": scores, "sure": sure})
 
 
 def predictor(net: BiGRU):
-    """A column function of a text: the label with the largest mean probability over all its positions, and that mean."""
+    """A column function of a text: the label with the largest mean probability over all its positions, that mean, and how sure each position is."""
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, sure double")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield from _label_texts(net, batches)
 
@@ -247,9 +255,9 @@ def predictor(net: BiGRU):
 
 
 def in_learned_language(net: BiGRU, text: Column) -> Column:
-    """False for texts without a letter, and for those of a piece's length at least whose score is below the floor."""
+    """False for texts without a letter, and for those of a piece's length at least whose labels are less sure than the floor."""
     guess = predictor(net)(F.coalesce(text, F.lit("")))
-    return (guess["lang_pred"] != UNKNOWN) & ((guess["score"] >= net.floor) | (F.octet_length(text) < PIECE))
+    return (guess["lang_pred"] != UNKNOWN) & ((guess["sure"] >= net.floor) | (F.octet_length(text) < PIECE))
 
 
 def predict(docs: DataFrame, net: BiGRU | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

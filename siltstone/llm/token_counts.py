@@ -296,7 +296,7 @@ def count_with_edits(
     path: str | None = None,
 ) -> DataFrame:
     """One row per document: ``doc_id, n_before, n_after, n_edits, n_skipped, n_pieces, n_encoded``; trees are kept in the shared folder."""
-    trees = materialize(token_trees(docs, id_col, text_col, vocabulary, path), "token-trees")
+    trees = materialize(token_trees(docs, id_col, text_col, vocabulary, path), "token-trees", compression="zstd")
     return edit_trees(trees, edits, propose, vocabulary, path, keep=False).withColumnRenamed("n_tokens", "n_after")
 
 

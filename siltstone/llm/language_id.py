@@ -43,7 +43,7 @@ PIECE = 64
 MOST_LANGUAGES = 1000
 
 #: Positions times labels that are held at once.
-_ROOM = 1 << 22
+_ROOM = 1 << 21
 
 
 def normal(text: str | None) -> bytes:
@@ -90,13 +90,49 @@ class BiGRU:
             h = out[t] = new
         return out
 
+    def _add_logits(self, x: np.ndarray, mask: np.ndarray | None, d: str, e: np.ndarray) -> None:
+        """Add to `e` (position x row x label) what the states of one layer say; `x` and `mask` are position x row.
+
+        The same states as those of `_read`, in arrays that are used again at each position.
+        """
+        k, u, into = self.hidden, self.p[f"u{d}"], self.p[f"x{d}"]
+        half = np.float32(0.5)
+        gates, cand, u_gates, u_cand = into[:, : 2 * k] * half, into[:, 2 * k :].copy(), u[:, : 2 * k] * half, u[:, 2 * k :].copy()
+        out = self.p["out"][:k] if d == "f" else self.p["out"][k:]
+        rows = x.shape[1]
+        h, g, s, n, sn = (np.zeros((rows, w), np.float32) for w in (k, 2 * k, 2 * k, k, k))
+        says = np.empty((rows, e.shape[2]), np.float32)
+        z, r = g[:, :k], g[:, k:]
+        for t in range(len(x)) if d == "f" else reversed(range(len(x))):
+            np.take(gates, x[t], axis=0, out=g, mode="clip")
+            np.take(cand, x[t], axis=0, out=n, mode="clip")
+            g += np.matmul(h, u_gates, out=s)
+            np.tanh(g, out=g)
+            g *= half
+            g += half
+            np.matmul(h, u_cand, out=sn)
+            sn *= r
+            n += sn
+            np.tanh(n, out=n)
+            if mask is None:
+                h -= n
+                h *= z
+                h += n
+            else:
+                np.copyto(h, n + z * (h - n), where=mask[t][:, None])
+            e[t] += np.matmul(h, out, out=says)
+
     def label(self, x: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
-        """Probabilities of each label at each position: position x row x label."""
-        k = self.hidden
-        e = self._read(x, None, "f") @ self.p["out"][:k]  # what follows a row's end does not reach back
-        e += self._read(x, mask, "b") @ self.p["out"][k:] + self.p["bias"]
-        np.exp(e - e.max(axis=2, keepdims=True), out=e)
-        return e / e.sum(axis=2, keepdims=True)
+        """Probabilities of each label at each position (position x row x label) of the byte rows `x`."""
+        x = np.ascontiguousarray(x.T)
+        e = np.empty((*x.shape, len(self.labels)), np.float32)
+        e[:] = self.p["bias"]
+        self._add_logits(x, None, "f", e)  # what follows a row's end does not reach back
+        self._add_logits(x, None if mask is None else np.ascontiguousarray(mask.T), "b", e)
+        e -= e.max(axis=2, keepdims=True)
+        np.exp(e, out=e)
+        e /= e.sum(axis=2, keepdims=True)
+        return e
 
     def means(self, texts: list[bytes]) -> np.ndarray:
         """For each text the means over all its positions of the label probabilities, and of the largest of them (zero for an empty text)."""
@@ -114,7 +150,7 @@ class BiGRU:
             wide = int(size[-1])
             x = np.frombuffer(b"".join(texts[r[1]][r[2] : r[2] + r[0]].ljust(wide, b"\0") for r in part), np.uint8).reshape(len(part), wide)
             at = np.arange(wide)[:, None]
-            q = self.label(np.ascontiguousarray(x), None if size[0] == wide else (at < size).T)
+            q = self.label(x, None if size[0] == wide else (at < size).T)
             if own.any() or (end < wide).any():
                 q *= ((at >= own) & (at < end))[:, :, None]
             np.add.at(sums, i, np.column_stack([q.sum(axis=0), q.max(axis=2).sum(axis=0)]))

@@ -90,12 +90,18 @@ text_query("dm_trim", T.trim_mathematics, "array_to_string(string_split(t, chr(1
 text_query("unindent", T.unindent, sub("(?m)^ *"), both("'   ' || replace(text, NL, NL || '  ')"))
 text_query("toc_numbers", T.drop_toc, "array_to_string(list_filter(string_split(" + sub(r"(?m)^[* ]+$", t=sub(r"\[\p{Nd}+\]", t=sub(r"(?m)[ ]{4,}[\p{Nd}\-]+$"))) + ", chr(10)), lambda x: NOT contains(x, '     ')), chr(10))", both("replace(text, NL, '[3]      12' || NL || '* *' || NL) || NL || 'a      b'"))
 text_query("strip_single_space", T.strip_single_space, "CASE WHEN t LIKE ' %' AND t NOT LIKE '  %' THEN substring(t, 2) ELSE t END", both("' ' || text"))
-text_query("subtitle_lines", T.clean_subtitles, None, both("'[x]' || NL || replace(text, NL, NL || '\"a\" \"b\"' || NL || 'c' || NL || 'c' || NL)"))
+_STAGE, _QUOTED = r"(?m)^\[(.*)\]$", r'(?m)^"(.*)"$'
+_turns = f"string_split(replace(replace(t, '\" \"', '\"' || chr(10) || '\"'), chr(10) || '\" ', chr(10) || '\"'), chr(10))"
+_turns = f"array_to_string(list_filter({_turns}, lambda x, i: i = 1 OR {_turns}[i - 1] <> x), chr(10))"
+text_query("subtitle_lines", T.clean_subtitles, f"regexp_replace({sub(_STAGE, t=sub(_QUOTED, chr(92) + '1', t=_turns))}, '\\n+', chr(10), 'g')", both("'[x]' || NL || replace(text, NL, NL || '\"a\" \"b\"' || NL || 'c' || NL || 'c' || NL)"))
 text_query("news_forum", T.clean_news_forum, None, both("'Title - user' || NL || 'url' || NL || text || NL || '> quote' || NL || '[1]: note'"))
 text_query("novel_strips", T.clean_novel, None, both("'[Illustration: x]' || NL || text || NL || NL || 'Project Gutenberg' || NL || NL || 'CHAPTER IV'"))
 text_query("unwrap_lines", lambda c: T.unwrap(c, 100_000), None)
 text_query("markdown_links", T.drop_markdown_links, None, both("text || ' see [doc](http://x/y) http://a.b/c... http://a-' || NL || 'b'"))
-text_query("fix_document_by_name", lambda c: T.fix_document(c, F.lit("Wikipedia (en).txt")), None, both("text || CR || NL || 'Category:x'"))
+_STRIP, _GAPS = r"\A[\s\x{a0}\x{3000}\x{2028}]+|[\s\x{a0}\x{3000}\x{2028}]+\z", "chr(10) || chr(10)"
+_gaps = lambda t: f"regexp_replace({t}, '\\n{{2,}}', {_GAPS}, 'g')"
+_fixed = _gaps(sub(r"(?m)[ \t]+$", t="replace(replace(t, chr(13) || chr(10), chr(10)), chr(13), chr(10))"))
+text_query("fix_document_by_name", lambda c: T.fix_document(c, F.lit("Wikipedia (en).txt")), sub(_STRIP, t=_gaps(sub(r"(?m)^Category:.*$", t=_fixed))), both("text || CR || NL || 'Category:x'"))
 text_query("remove_control", T.remove_control, sub(r"\p{C}"))
 text_query("strip_hashtag", T.drop_hashtag, sub("#.*?# *"))
 text_query("strip_mention", T.drop_mention, sub(r"@[0-9a-zA-Z\x{4E00}-\x{9FA5}\-_]+"))
@@ -105,9 +111,13 @@ text_query("mask_phone", T.mask_phone, sub(r"\P{Nd}\p{Nd}{11}\P{Nd}", "<PHONE>")
 text_query("short_links", T.drop_short_link, sub(r"(?:(?:https?:?//|ftp://|www\p{Nd}{0,3}\.)t\.cn?(?:/[a-zA-Z0-9]{0,8})?)|[网页链接|]"), both("text || ' http://t.cn/abc1 网x|页'"))
 text_query("url_strip", T.drop_url, None, of=("pages", "page_id", "url"))
 text_query("plain_clean", T.plain_clean, None)
-text_query("drop_literals", T.drop_literals, "replace(replace(replace(t, '[图片]', ''), '{ }', ''), '我擦', '')", both("'我擦[图片]' || text || '{ }'"))
+_literals, _without = "".join(P.UTTERANCE_LITERALS), "t"
+for _p in P.UTTERANCE_LITERALS:
+    _without = f"replace({_without}, '{_p}', '')"
+_marked = f"'{_literals}' || text || '{_literals}'"
+text_query("drop_literals", T.drop_literals, _without, (_marked.replace("\\", "\\\\"), _marked))
 text_query("collapse_blanks", T.collapse_blanks, sub(" +", " "), both("replace(text, ' ', '   ')"))
-text_query("unicode_strip", T.ustrip, sub(r"\A[\s\x{a0}\x{3000}\x{2028}]+|[\s\x{a0}\x{3000}\x{2028}]+\z"), both("'　 ' || text || NL || '　'"))
+text_query("unicode_strip", T.ustrip, sub(_STRIP), both("'　 ' || text || NL || '　'"))
 text_query("gb2312_filter", T.drop_unprintable, sub(T._class(T.gb2312_lacks()), t=sub(r"\\u.{4}")))
 text_query("drop_emoji", T.drop_emoji, sub(r"\A\s+|\s+\z", t=sub(r"[\x{10000}-\x{10FFFF}\x{2500}-\x{2BEF}\x{200d}\x{23cf}\x{23e9}\x{231a}\x{fe0f}\x{3030}*\x{20e3}#]+")), both("text || '☀*😀#x '"))
 text_query("html_simple_tags", T.drop_simple_tags, sub("<br>|<b>|<li>|<ol>|<blockquote>"), of=PAGES)
@@ -118,8 +128,11 @@ text_query("unicode_repair", repair, None)
 text_query("normalize_utterance", lambda c: T.normalize(c), sub(r"\A\s+|\s+\z", t=sub(" +", " ", t=sub(r"\p{C}", t="replace(t, chr(9), ' ')"))), both("replace(text, ' ', TAB || ' ')"))
 text_query("clean_utterance", lambda c: T.clean_utterance(c, script="[a-z]"), None)
 text_query("clean_line", lambda c: T.clean_line(c, collapse=collapse_repeats), None)
-text_query("decode_escapes", T.decode_escapes, "'a' || chr(10) || doc_id", ("'a\\\\n' || doc_id", "text"), ("documents", "doc_id", "text"))
-ORACLE_SQL["decode_escapes"] = "SELECT doc_id, CAST(length(o) AS BIGINT) AS n, md5(o) AS digest FROM (SELECT doc_id, 'a' || chr(10) || doc_id AS o FROM documents)"
+_ESC = {"char(92)": "char(92) || char(92)", "char(34)": "char(92) || char(34)", "char(10)": "char(92) || 'n'", "'e'": "char(92) || 'u0065'"}
+_escaped = "text"
+for _p, _q in _ESC.items():
+    _escaped = f"replace({_escaped}, {_p}, {_q})"
+text_query("decode_escapes", T.decode_escapes, "t", (_escaped, "text"))
 text_query("text_hash", T.text_hash, "substring(sha1(t), 1, 16)")
 _CONVERT = {"万": "萬", "与": "與", "e": "E", "the": "THE", "ou": "OU", "á": "à"}
 text_query("phrase_conversion", converter({"the": "T", "he": "H", "en": "N", "e": "E", "a": "á"}), None)
@@ -213,10 +226,14 @@ def blacklist_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", has_keyword(_WORDS)(F.array_join("cont", " ")).alias("hit"))
 
 
-@query()
+_MANY = [f"word{i}" for i in range(600)]
+_BLACK_LARGE = _BLACK.replace("idiot|", "idiot|" + "|".join(_MANY) + "|")
+
+
+@query(f"SELECT doc_id, regexp_matches(array_to_string({_CONT}, ' '), '{_BLACK_LARGE}') AS hit FROM documents")
 def blacklist_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A list that is long enough for the automaton."""
-    return documents(spark, sf_dir).select("doc_id", has_keyword(_WORDS + [f"word{i}" for i in range(600)])(F.array_join("cont", " ")).alias("hit"))
+    return documents(spark, sf_dir).select("doc_id", has_keyword(_WORDS + _MANY)(F.array_join("cont", " ")).alias("hit"))
 
 
 @query(
@@ -284,11 +301,17 @@ def trigram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.round(perplexity(model)(F.col("text")), 6).alias("perplexity"))
 
 
-@query("SELECT doc_id, regexp_matches(source, '^[+-]?[0-9]+$') AS number, TRUE AS ordered, 'part.a_filter.txt' AS out_name FROM documents")
+_EVEN = "CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id AS VARCHAR(20)) ELSE source END"
+
+
+@query(f"SELECT doc_id, regexp_matches({_EVEN}, '^[+-]?[0-9]+$') AS number, doc_id % 3 > 0 AS ordered, source || '.' || (doc_id % 7) || '_filter.txt' AS out_name FROM documents")
 def small_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.date_format(F.timestamp_seconds(F.col("doc_id")), "yyyy-M-d-H-m-s")
-    later = F.date_format(F.timestamp_seconds(F.col("doc_id") + 61), "yyyy-MM-dd-HH-mm-ss")
-    return table(spark, sf_dir, "documents").select("doc_id", T.is_number(F.col("source")).alias("number"), T.not_after(t, later).alias("ordered"), output_name(F.lit("/a/part.a.txt"), "filtered").alias("out_name"))
+    """Every second document has its id for a number; times go back by 61 seconds, stay and go on, by turns."""
+    at = F.col("doc_id") * 61
+    t = F.date_format(F.timestamp_seconds(at), "yyyy-M-d-H-m-s")
+    other = F.date_format(F.timestamp_seconds(at + (F.col("doc_id") % 3 - 1) * 61), "yyyy-MM-dd-HH-mm-ss")
+    file = F.concat(F.lit("/a/"), F.col("source"), F.lit("."), (F.col("doc_id") % 7).cast("string"), F.lit(".txt"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.is_number(F.expr(_EVEN)).alias("number"), T.not_after(t, other).alias("ordered"), output_name(file, "filtered").alias("out_name"))
 
 
 # --- dialogues
@@ -337,17 +360,18 @@ def ad_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue.drop_advertisements(each, ads).select("seq", "turn")
 
 
-_SHORT = "substring(text, 1 + CAST(turn AS INTEGER) % 5, 4 + CAST(turn AS INTEGER) % 3)"
+_THE = "repeat('the', CAST(length(text) * (2 + turn % 4) + 1 AS INT)) || text"
 
 
-@query(f"SELECT conv_id, CAST(turn AS BIGINT) AS turn, length(t) > 0 AND EXISTS (SELECT 1 FROM (SELECT unnest(list_transform(range(1, greatest(CAST(length(t) AS BIGINT) - 1, 1)), lambda i: substring(t, i, 3))) AS g) x WHERE g = 'the' GROUP BY g HAVING count(*) * 3.0 / length(t) > 0.9) AS bland FROM (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'the' ELSE {_SHORT} END AS t FROM conversations)")
+@query(f"SELECT conv_id, CAST(turn AS BIGINT) AS turn, (length(t) - length(replace(t, 'the', ''))) / length(t) > 0.9 AS bland FROM (SELECT conv_id, turn, {_THE} AS t FROM conversations)")
 def bland_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    short = F.expr(f"CASE WHEN turn % 2 = 0 THEN 'the' ELSE {_SHORT} END")
-    return table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), dialogue.is_bland(short, F.array(F.lit("the"))).alias("bland"))
+    """Whole utterances, after so many words more that some are bland and some are not."""
+    return table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), dialogue.is_bland(F.expr(_THE), F.array(F.lit("the"))).alias("bland"))
 
 
-@query()
+@query("SELECT conv_id AS seq, CAST(count(*) // 3 + count(*) % 3 AS INTEGER) AS n_kept FROM conversations GROUP BY conv_id")
 def bland_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third utterance is bland and takes the one before it along, so each full three leave one."""
     df = dialogues(spark, sf_dir).withColumn("own", F.transform("texts", lambda t, i: F.struct(t.alias("text"), (i % 3 == 2).alias("bland"))))
     return df.select("seq", F.size(dialogue.fold_bland(F.col("own"))).alias("n_kept"))
 
@@ -400,8 +424,10 @@ def star_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stars.select(F.col("text").cast("long").alias("seq"), F.size("children").cast("long").alias("n_children"))
 
 
-@query("SELECT DISTINCT 'n' || (k % 3) AS name, 'p' || (k % 3) AS id FROM range(3) r(k)")
+@query("SELECT conv_id, role AS name, max(turn) || '.' || role AS id FROM conversations GROUP BY conv_id, role")
 def mention_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names to ids, of one thread's map; of two ids with one name the last wins."""
-    names = F.create_map(F.lit("old"), F.lit("n1"), *[F.lit(x) for i in range(3) for x in (f"p{i}", f"n{i}")])
-    return spark.range(1).select(F.explode(threads.ids_by_name(names)).alias("name", "id"))
+    """Names to ids, of a map for each conversation; of the ids with one name the last wins."""
+    turn = F.struct("turn", F.concat(F.col("turn").cast("string"), F.lit("."), F.col("role")).alias("id"), "role")
+    each = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_set(turn)).alias("turns"))
+    names = F.map_from_entries(F.transform("turns", lambda x: F.struct(x["id"], x["role"])))
+    return each.select("conv_id", F.explode(threads.ids_by_name(names)).alias("name", "id"))

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.functions import scoring
+from siltstone.functions import conversion, repair, scoring
 from siltstone.operators import dedup, dialogue, stats, threads, webdoc
 from siltstone.plans import pipelines
 from siltstone.sources import readers, writers
@@ -216,3 +216,32 @@ def test_trigrams_of_the_whole_benchmark(spark, tmp_path):
     got = {r["doc_id"]: r["perplexity"] for r in trigram_perplexity(spark, str(tmp_path)).collect()}
     for i, t in enumerate(asked):
         assert got[i] == pytest.approx(whole.perplexity(t), abs=1e-6)
+
+
+def test_split_rejects_loses_no_row(spark):
+    df = spark.createDataFrame([(1, "short"), (2, None), (3, ""), (4, "label")], "i int, why string")
+    stay, gone = writers.split_rejects(df, F.nullif("why", F.lit("")))
+    assert stay.columns == ["i", "why"] and sorted(r["i"] for r in stay.collect()) == [2, 3]
+    assert sorted((r["i"], r["reject_reason"]) for r in gone.collect()) == [(1, "short"), (4, "label")]
+    empty = writers.split_rejects(df.limit(0), F.col("why"))
+    assert [x.count() for x in empty] == [0, 0]
+
+
+def test_conversion_table_from_rows(spark):
+    rows = [("tw", "a", "x"), ("tw", "a", "y"), ("tw", "ab", "z"), ("hk", "a", "q")]
+    table = conversion.read_table(spark.createDataFrame(rows, "variant string, from string, to string"), "tw")
+    assert table == {"a": "y", "ab": "z"}
+    df = spark.createDataFrame([("aab",), (None,), ("",)], "t string")
+    assert [r[0] for r in df.select(conversion.converter(table)(F.col("t"))).collect()] == ["yz", None, ""]
+
+
+def test_function_of_a_line(spark):
+    df = spark.createDataFrame([("ab",), (None,), ("",), ("x",)], "t string")
+    upper = scoring.per_line(lambda: lambda t: t.upper() if t != "x" else None)
+    assert [r[0] for r in df.select(upper(F.col("t"))).collect()] == ["AB", None, "", None]
+
+
+def test_repair_keeps_quotes_and_entities(spark):
+    df = spark.createDataFrame([("“a” &amp; ﬁ",), (None,)], "t string")
+    assert [r[0] for r in df.select(repair.repair_keeping_quotes(F.col("t"))).collect()] == ["“a” &amp; fi", None]
+    assert df.select(repair.repair(F.col("t"))).first()[0] == '"a" & fi'

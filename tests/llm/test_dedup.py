@@ -218,6 +218,36 @@ def test_recall_of_near_passages_by_similarity(docs_of):
     assert caught[0] == total[0] and all(caught[n] >= 0.9 * total[n] for n in total), (caught, total)
 
 
+def test_near_passages_that_the_first_lacks(docs_of):
+    """Passages that only later documents share, and only nearly, where the firsts of their groups have frequent lines of them or other variants."""
+    rng = random.Random(7)
+    fill = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    def changed(own, *places):
+        own = list(own)
+        for at in places:
+            own[at] = fill(1)[0]
+        return own
+
+    lines = [fill(20) for _ in range(36)]
+    texts = [fill(40) + x + fill(40) for x in lines for _ in range(2)] + [fill(45) + x + fill(30) + x for x in lines[:12]]
+    for i in range(0, 36, 3):
+        three = sum(lines[i : i + 3], [])
+        texts += [fill(30) + changed(three, *at) + fill(35) for at in ([], [29], [31])[: 2 + i % 2]]
+    # forty variants that differ from each other by more, and a near copy of each
+    passage = fill(56)
+    variants = [changed(passage, *rng.sample(range(8, 48), 3)) for _ in range(40)]
+    texts += [fill(20) + x + fill(30) for x in variants] + [fill(20) + changed(x, 4) + fill(30) for x in variants]
+    texts = [" ".join(x) for x in texts]
+    want = brute_passages(texts)
+    assert sum(map(bool, want)) >= 12 + 40
+    # one task, so that the lines alone come first in every group
+    rows = {r["doc_id"]: r for r in substring_dedup(docs_of(texts).coalesce(1)).collect()}
+    got = [{x for s in rows[i]["spans"] for x in range(s["start"], s["end"])} for i in range(len(texts))]
+    assert [i for i, hit in enumerate(want) if not hit <= got[i]] == []
+    assert [i for i, hit in enumerate(want) if got[i] and not hit] == []
+
+
 def test_passages_of_rows_that_share_an_id(docs_of):
     rng = random.Random(3)
     fill = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))

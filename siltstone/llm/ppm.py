@@ -26,6 +26,8 @@ gives no rows.  Other columns are not looked at.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 import struct
 from collections import Counter, defaultdict
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -155,33 +158,56 @@ def _word_buckets(own: list[bytes], buckets: int) -> np.ndarray:
     return np.fromiter((xxhash.xxh32_intdigest(w) for w in own), dtype=np.int64, count=len(own)) % buckets + buckets
 
 
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Names in ascending order, each once, and the sums of their counts."""
+    name, n = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(name, kind="stable")
+    name, n = name[order], n[order]
+    first = np.nonzero(np.append(True, name[1:] != name[:-1]))[0]
+    return name[first], np.add.reduceat(n, first)
+
+
+def _give_back() -> None:
+    """Return free memory to the system: a Python worker lives on, beside others, and what it keeps counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 PARTS = "part long, bucket int, docs binary, names binary, n binary"
 
 
 def _part(part: int, ids: list, trained: list[bool], texts: list[bytes], order: int, buckets: int) -> pd.DataFrame:
     """The rows of one part: its texts (bucket null), and by bucket the names of nodes or words and their counts."""
-    grams: list[pd.Series] = []
-    words: dict[bytes, int] = {}
+    grams: list[tuple[np.ndarray, np.ndarray]] = []  # each at most half as long as the one before, so that few copies of a node are held
     for flag in (True, False):
         own = [t for t, x in zip(texts, trained) if x == flag]
         for lo, hi in _chunks(own):
             n = pd.Series(_grams(own[lo:hi], order)[0]).value_counts(sort=False)
-            grams.append(n if flag else n * 0)
-        count: Counter = Counter()
-        for t in own:
-            count.update(t.lower().split())
-        count[b""] += len(own)
-        for w, n in count.items():
-            words[w] = words.get(w, 0) + (n if flag else 0)
-    gram = pd.concat(grams).groupby(level=0).sum()  # in ascending order
-    name, n = gram.index.to_numpy(dtype="<i8"), gram.to_numpy(dtype="<i8")
+            grams.append(_merged([(n.index.to_numpy(dtype="<i8"), n.to_numpy(dtype="<i8") * flag)]))
+            del n
+            while len(grams) > 1 and 2 * len(grams[-1][0]) > len(grams[-2][0]):
+                grams[-2:] = [_merged(grams[-2:])]
+    name, n = _merged(grams)  # in ascending order
+    del grams
     rows = [(part, None, _squeeze(_pack_docs(ids, trained, texts)), None, None)]
     at = _gram_bucket(name, buckets)
     by = np.argsort(at, kind="stable")
     own, first = np.unique(at[by], return_index=True)
     for b, x in zip(own.tolist(), np.split(by, first[1:])):
         rows.append((part, b, None, _squeeze_sorted(name[x]), _squeeze(n[x])))
+    del name, n, x
+    words: Counter = Counter()
+    for t, x in zip(texts, trained):
+        if x:
+            words.update(t.lower().split())
+    words[b""] += sum(trained)
+    for t, x in zip(texts, trained):
+        if not x:
+            for w in t.lower().split():
+                words.setdefault(w, 0)
     word, n = list(words), np.fromiter(words.values(), dtype="<i8", count=len(words))
+    del words
     at = _word_buckets(word, buckets)
     by = np.argsort(at, kind="stable")
     own, first = np.unique(at[by], return_index=True)
@@ -306,8 +332,12 @@ def pretrained_scores(
                 if size >= part_bytes:
                     yield _part(part, *held, order, many)
                     part, held, size = part + 1, ([], [], []), 0
+                    _give_back()
+            pdf = t = raw = None  # the next batch, or the last part, needs the room
         if held[0]:
             yield _part(part, *held, order, many)
+            held = None
+        _give_back()
 
     rows = docs.select(doc_id(id_col).alias("doc_id"), F.coalesce(trained, F.lit(False)).alias("trained"), F.col(text_col).alias("text"))
     # an id may be null: as strings, ids stay whole in pandas
@@ -393,5 +423,11 @@ def pretrained_scores(
             base.append(float(np.log10(c + 1.0).sum() - len(tokens) * whole))
         return pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "trained": flags, "n_tokens": n, "n_known": known, "train_tokens": n_train, "base_score": base, "score": total})
 
+    def scored(own: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return score(own, told)
+        finally:
+            _give_back()
+
     texts = cut_up.filter("bucket is null").select("part", "docs")
-    return texts.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(score, "doc_id long, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return texts.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(scored, "doc_id long, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

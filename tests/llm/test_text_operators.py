@@ -79,6 +79,28 @@ def test_pretrained_scores(docs_of, edge):
     assert none["doc_id"] is None and none["score"] == pytest.approx(-3 * np.log10(255))
 
 
+def test_a_part_is_counted_in_little_memory(monkeypatch):
+    """Nodes of many chunks are summed as they come: a part takes a few times its distinct nodes, not all chunks at once."""
+    import tracemalloc
+
+    rng = np.random.default_rng(0)
+    words = [f"{x:x}" for x in rng.integers(0, 2**32, 4000)]
+    texts = [" ".join(rng.choice(words, 200)).encode() for _ in range(1500)]
+    trained = [i % 4 != 0 for i in range(len(texts))]
+    monkeypatch.setattr(ppm, "CHUNK", 1 << 15)
+    tracemalloc.start()
+    out = ppm._part(1, list(range(len(texts))), trained, texts, 5, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    grams = lambda own: ppm._grams(own, 5)[0]
+    name, n = np.unique(grams([t for t, x in zip(texts, trained) if x]), return_counts=True)
+    rest = np.setdiff1d(grams([t for t, x in zip(texts, trained) if not x]), name)
+    own = out[out["bucket"] < 4]
+    got = {g: c for x, k in zip(own["names"], own["n"]) for g, c in zip(ppm._spread_sorted(x).tolist(), ppm._spread(k, "<i8").tolist())}
+    assert got == dict(zip(name.tolist(), n.tolist())) | dict.fromkeys(rest.tolist(), 0)
+    assert peak < 120 * len(got)
+
+
 def test_adaptive_scores(docs_of):
     got = {r["doc_id"]: r["score"] for r in ppm.adaptive_scores(docs_of(["ab" * 50, "ab", None])).collect()}
     assert got[0] == pytest.approx(ppm.Trie(5).score("ab" * 50, learn=True))

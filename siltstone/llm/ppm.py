@@ -26,8 +26,6 @@ gives no rows.  Other columns are not looked at.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import math
 import struct
 from collections import Counter, defaultdict
@@ -35,14 +33,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_id, input_bytes, materialize
+from .common import doc_id, give_back, input_bytes, materialize
 
 #: Bytes that UTF-8 never has: before a text, and after it.  All but START can be predicted.
 START, END, SYMBOLS = 0xFE, 0xFF, 255
@@ -167,13 +164,6 @@ def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return name[first], np.add.reduceat(n, first)
 
 
-def _give_back() -> None:
-    """Return free memory to the system: a Python worker lives on, beside others, and what it keeps counts against its executor."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 PARTS = "part long, bucket int, docs binary, names binary, n binary"
 
 
@@ -332,12 +322,12 @@ def pretrained_scores(
                 if size >= part_bytes:
                     yield _part(part, *held, order, many)
                     part, held, size = part + 1, ([], [], []), 0
-                    _give_back()
+                    give_back()
             pdf = t = raw = None  # the next batch, or the last part, needs the room
         if held[0]:
             yield _part(part, *held, order, many)
             held = None
-        _give_back()
+        give_back()
 
     rows = docs.select(doc_id(id_col).alias("doc_id"), F.coalesce(trained, F.lit(False)).alias("trained"), F.col(text_col).alias("text"))
     # an id may be null: as strings, ids stay whole in pandas
@@ -427,7 +417,7 @@ def pretrained_scores(
         try:
             return score(own, told)
         finally:
-            _give_back()
+            give_back()
 
     texts = cut_up.filter("bucket is null").select("part", "docs")
     return texts.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(scored, "doc_id long, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

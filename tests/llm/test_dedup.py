@@ -7,6 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from siltstone.llm import simhash as S
+from siltstone.llm import substring_dedup as dedup
 from siltstone.llm.exact_dedup import exact_dedup
 from siltstone.llm.substring_dedup import compact_windows, near_passages, numbered, substring_dedup, tokens
 
@@ -248,6 +249,50 @@ def test_near_passages_that_the_first_lacks(docs_of):
     assert [i for i, hit in enumerate(want) if got[i] and not hit] == []
 
 
+def test_passages_that_do_not_match_are_hardly_compared(docs_of, monkeypatch):
+    """Texts of one frequent line and three runs of a word, any two with at most one run in common: each has enough known tokens, none has them from one text."""
+    raw, pairs, candidates = [], [], dedup._candidates
+
+    def counted(ask, others):
+        raw.append(ask.join(others, "token").filter("rep < doc").select("doc", "block", "rep", "there").distinct().count())
+        out = candidates(ask, others)
+        pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(dedup, "_candidates", counted)
+    line = " ".join(f"line{i}" for i in range(14))
+    own = lambda n, k: " ".join(f"own{n}{k}{i}" for i in range(50))
+    texts = [" ".join([own(n, "x"), line, *[f"a{n % 11}"] * 18, *[f"b{n // 11}"] * 18, *[f"c{(n + n // 11) % 11}"] * 18, own(n, "y")]) for n in range(121)]
+    assert {r["n_dup_words"] for r in substring_dedup(docs_of(texts)).collect()} == {0}
+    assert sum(raw) > 1000
+    assert sum(pairs) < 100
+
+
+def test_what_passages_ask_for():
+    """Any other side of a passage has one of the tokens that it asks for, and by its digest enough of the others."""
+    rng, size, need = np.random.default_rng(2), 46, 37
+    for _ in range(40):
+        token = rng.integers(1, 2**63, 300).astype(np.uint64)[rng.integers(0, rng.choice([20, 60, 300]), 120)]
+        cost = {x: rng.integers(0, 9) for x in np.unique(token).tolist()}
+        rare = np.array([cost[x] for x in token.tolist()])
+        places = np.sort(rng.choice(len(token) - size + 1, 20, replace=False))
+        asks = dedup._keys(token, rare, places, size, size - need + 1)
+        for p in places.tolist():
+            own, known = token[p : p + size], rare[p : p + size] > 0
+            lost = set()
+            for x in rng.permutation(np.unique(own[known])).tolist():  # the other side loses tokens while enough are left
+                if (known & ~np.isin(own, [*lost, x])).sum() >= need:
+                    lost.add(x)
+            there = np.unique(own[known & ~np.isin(own, list(lost))])
+            if (known & np.isin(own, there)).sum() < need:
+                continue
+            has = dedup._digest(there[None])[0]
+            mine = asks[(asks[:, 1] <= p) & (p < asks[:, 1] + dedup.TOGETHER)]
+            mine = mine[(mine[:, 2] >> (p - mine[:, 1]) & 1 == 1) & np.isin(token[mine[:, 0]], there)]
+            need_, must = mine[:, 4 : 4 + dedup.DIGEST], mine[:, 4 + dedup.DIGEST :]
+            assert len(mine) and (np.bitwise_count((need_ & ~has).view(np.uint64)).sum(axis=1) <= mine[:, 3]).all() and not (must & ~has).any()
+
+
 def test_passages_of_rows_that_share_an_id(docs_of):
     rng = random.Random(3)
     fill = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
@@ -307,3 +308,48 @@ def test_passages_of_rows_that_share_an_id(docs_of):
 def test_tokens_are_of_five_words():
     assert len(tokens("a b c d", 5)) == 0 and len(tokens("a b c d e f", 5)) == 2
     assert tokens("A, b. C d e", 5)[0] == tokens("a b c d e", 5)[0]
+
+
+def test_runs_of_one_word_take_few_windows():
+    """Ties are one window for many places; each place is in one window of each function still, by the same value."""
+    rng = np.random.default_rng(8)
+    size = 46
+    own = tokens(" ".join([*(f"a{i}" for i in range(60)), *["word"] * 2000, *(f"b{i}" for i in range(60))]), 5)
+    assert len(dedup._windows([1], [own], [0], 8, size)) <= 8 * (2000 // size + 12)
+    for _ in range(60):
+        h = np.repeat(rng.choice(rng.integers(0, 2**63, 30).astype(np.uint64), 80), rng.integers(1, 12, 80))
+        size = int(rng.integers(2, 40))
+        all_ = compact_windows(h, np.array([0, 90]), np.array([90, len(h)]), size)
+        places = lambda w: sorted((t, s, int(h[c])) for t, l, c, r in zip(*(x.tolist() for x in w)) for s in range(max(l, c - size + 1), min(c, r - size + 1) + 1))  # noqa: B023, E731
+        assert places(dedup.without_ties(h, all_, size)) == places(all_)
+
+
+def test_words_are_hashed_by_array():
+    rng = random.Random(9)
+    texts = ["", None, "a", "...", *(" ".join("xyzé"[rng.randrange(4)] * rng.randint(1, 90) + str(rng.randrange(99)) for _ in range(300)) for _ in range(9))]
+    assert [x.tolist() for x in dedup.tokens_of(texts, 3)] == [tokens(t, 3).tolist() for t in texts]
+    raw = " ".join(re.sub(r"[.\s]+", " ", t or "") for t in texts).encode()
+    h, start = dedup.word_hashes(raw)
+    assert [raw[a:].split(None, 1)[0] for a in start.tolist()] == raw.split()
+    assert h.tolist() == [xxhash.xxh64_intdigest(w) for w in raw.split()]
+
+
+def test_windows_are_dealt_and_regions_joined():
+    rng = np.random.default_rng(10)
+    rows = dedup._paired(*np.sort(rng.integers(0, 40, (3, 500)), axis=1), own=False)
+    out = dedup._dealt(rows, 7)
+    told = [tuple(x) for p, n in ((False, 3), (True, 4)) for x in dedup._told(out["data"][out["pairs"] == p], n).T.tolist()]
+    assert sorted(told) == sorted((d, a, e, b) if b != dedup.NONE else (s, d, a) for s, d, a, e, b in rows.itertuples(index=False))
+
+    names = [x.split()[0] for x in dedup.LAID.split(", ")]
+    laid = sorted((int(d), int(p), int(a), int(a + n), int(a), int(a + n), 1 << int(k)) for d, p, a, n, k in rng.integers(0, [3, 3, 900, 12, 8], (150, 5)))
+    want = []
+    for d, p, a, b, ra, rb, m in laid:
+        if want and want[-1][:2] == [d, p] and want[-1][3] + 5 >= a:
+            x = want[-1]
+            want[-1] = [d, p, x[2], max(x[3], b), min(x[4], ra), max(x[5], rb), x[6] | m]
+        else:
+            want.append([d, p, a, b, ra, rb, m])
+    for step in (1, 7, 150):
+        batches = [pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64() if i < 2 else pa.int32()) for i, c in enumerate(zip(*laid[j : j + step]))], names=names) for j in range(0, 150, step)]
+        assert [list(r.values()) for x in dedup.regions(batches, 5) for r in x.to_pylist()] == want
